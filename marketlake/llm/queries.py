@@ -7,10 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding, warc_zip
+from . import chat, pieces, sharding, token_counts, warc_zip
 from .common import stored, table
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, with an end id, and the text decoded from them, as digests."""
+    docs, model = table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model")
+    out = pieces.decode(pieces.encode(docs, model, keep_text=False), model)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join("ids", " "), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and byte-level BPE tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"), limit=512).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations in rows of turns, and conversation -7 in the layout of messages, through one template."""
     text = "\\### Assistant: </turn> ok"
@@ -52,7 +76,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_chat_formatting, op8_warc, op10_sharding)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op8_warc, op10_sharding)}
 
 
 ORACLES: dict[str, str] = {
