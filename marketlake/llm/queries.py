@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, sharding, token_counts, warc_zip
+from . import chat, pieces, quality, sharding, token_counts, url_filter, warc_zip
 from .common import stored, table
 
 
@@ -57,6 +57,22 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules, then bands of n-gram perplexity by language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", "lower", "upper")
+    return quality.quality(docs).select(*names)
+
+
+URL_RULES = [url_filter.Rule(*r.split(" ")) for r in ("block com /en/", "allow example.com /en/7", "allow net /de/", "block example.net /de/8", "block org /es/")]
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's address judged by the longest rule, else by the model."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records into ZIP archives in the shared folder, and read back by range."""
     marked = warc_zip.mark_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
@@ -76,7 +92,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op8_warc, op10_sharding)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op8_warc, op10_sharding)}
 
 
 ORACLES: dict[str, str] = {
