@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +57,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of text, one row at least: bounds what a task holds at once."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            done = upto[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, done + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end

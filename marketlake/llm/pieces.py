@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import slices
+
 MARK = "▁"
 TABLE_WORDS = 300_000
 _CHUNK = re.compile(" +[^ ]*")
@@ -132,19 +134,20 @@ def _pass_on(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
-    """``df`` with the column ``ids``: the text's ids and an end id."""
-    schema = _pass_on(df if keep_text else df.select(*(c for c in df.columns if c != text), text), ids, T.ArrayType(T.IntegerType()))
-    if not keep_text:
-        schema = T.StructType([f for f in schema.fields if f.name != text])
+def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` without its text, with ``ids``: the text's ids and an end id. decoded: a column for the text decoded from them."""
+    schema = _pass_on(df.drop(text), ids, T.ArrayType(T.IntegerType()))
+    kept = [f.name for f in schema.fields[:-1] if f.name != decoded]
+    schema = T.StructType([*(schema[c] for c in kept), schema[ids], *([T.StructField(decoded, T.StringType())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_table(model)
-        for batch in batches:
+        for batch in slices(batches, text):
             offsets, flat = words.encode(batch.column(text).to_pylist())
-            own = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            kept = [f.name for f in schema.fields[:-1]]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), own], names=[*kept, ids])
+            own = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))]
+            if decoded:
+                own.append(pa.array(words.decode(offsets, flat), pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

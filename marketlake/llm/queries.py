@@ -20,7 +20,7 @@ def tokenizer(name: str) -> str:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, with an end id, and the text decoded from them, as digests."""
     docs, model = table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer("piece_bpe_32k.model")
-    out = pieces.decode(pieces.encode(docs, model, keep_text=False), model)
+    out = pieces.encode(docs, model, decoded="decoded")
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
