@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pieces, quality, sharding, token_counts, url_filter, warc_zip
+from . import bottom_k, chat, decontaminate, pieces, quality, sharding, token_counts, url_filter, warc_zip
 from .common import stored, table
 
 
@@ -73,6 +73,12 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_probability")
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are 80 percent alike."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bottom_k.near_duplicates(docs, n=4, percent=80)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records into ZIP archives in the shared folder, and read back by range."""
     marked = warc_zip.mark_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
@@ -80,6 +86,20 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.read_archives(volumes).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' words inside windows of benchmark items."""
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    out = decontaminate.find_hits(docs, benchmark)
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents on the Hilbert curve of language, source and length, cut into 40 runs of equal counts."""
     text = F.coalesce("text", F.lit(""))
@@ -92,7 +112,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op8_warc, op10_sharding)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding)}
 
 
 ORACLES: dict[str, str] = {
@@ -113,6 +133,26 @@ ORACLES: dict[str, str] = {
             CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
             CAST(formatted_chars AS BIGINT) AS formatted_chars
         FROM conv""",
+    "op7_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS set
+            FROM w),
+        e AS (SELECT doc_id, len(set) AS n, unnest(set) AS g FROM s),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS same
+            FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY ALL),
+        l AS (SELECT x, y FROM c WHERE 100 * same >= 80 * (nx + ny - same)),
+        sym AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+        reach(x, y) AS (SELECT x, y FROM sym UNION SELECT r.x, s.y FROM reach r JOIN sym s ON r.y = s.x),
+        root AS (SELECT x, least(x, min(y)) AS root FROM reach GROUP BY x)
+        SELECT s.doc_id, CAST(len(set) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id) AS component_id,
+            coalesce(root, s.doc_id) = s.doc_id AS kept
+        FROM s LEFT JOIN root ON root.x = s.doc_id""",
     "op8_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
@@ -121,6 +161,30 @@ ORACLES: dict[str, str] = {
             CASE WHEN f.first IS NULL OR f.first = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100""",
+    "op9_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        b AS (
+            SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+            FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(13, len(ws)) AS k, array_to_string(ws[i:i + 12], ' ') AS g
+            FROM b, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i) WHERE len(ws) > 0),
+        place AS (
+            SELECT doc_id, i, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+            FROM d, (SELECT DISTINCT k FROM win), LATERAL (SELECT unnest(range(1, len(ws) - k + 2)) AS i)),
+        hit AS (SELECT doc_id, i, place.k, item_id FROM place JOIN win ON place.k = win.k AND place.g = win.g),
+        n AS (SELECT doc_id, count(DISTINCT i + o) AS n_hit
+            FROM (SELECT DISTINCT doc_id, i, k FROM hit), LATERAL (SELECT unnest(range(0, k)) AS o) GROUP BY doc_id),
+        it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id""",
 }
 
 
