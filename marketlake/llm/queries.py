@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottom_k, chat, decontaminate, pieces, quality, sharding, token_counts, url_filter, warc_zip
+from . import bottom_k, chat, decontaminate, ngram_trie, pieces, quality, sharding, token_counts, url_filter, warc_zip
 from .common import stored, table
 
 
@@ -29,6 +29,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under a model of the documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_trie.score(docs, ngram_trie.build(docs))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and byte-level BPE tokens of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -112,7 +118,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding)}
 
 
 ORACLES: dict[str, str] = {
