@@ -169,7 +169,7 @@ def tail(words: np.ndarray) -> np.ndarray:
     return (words >> U64(20)) & U64((1 << TAIL) - 1)
 
 
-def build(docs: DataFrame, mu: float = 40.0) -> Callable[[], Trie]:
+def build(docs: DataFrame, mu: float = 150.0) -> Callable[[], Trie]:
     """Counts the training rows of ``docs`` (doc_id, text) and writes the trie; returns what opens it in a task."""
     spark = docs.sparkSession
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -260,7 +260,7 @@ def build(docs: DataFrame, mu: float = 40.0) -> Callable[[], Trie]:
     return opened
 
 
-def score(docs: DataFrame, opened: Callable[[], Trie], mu: float = 40.0) -> DataFrame:
+def score(docs: DataFrame, opened: Callable[[], Trie], mu: float = 150.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (words alone) and score (log10 probability of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
