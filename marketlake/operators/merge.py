@@ -27,22 +27,24 @@ def latest(df: DataFrame, keys: Sequence[str], *recency: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col("_row")[c].alias(c) for c in rest)).select(*df.columns)
 
 
-def matches(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> Column:
-    same = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
+def matches(keys: Sequence[str], null_safe: bool = True) -> Column:
+    """Rows aliased ``t`` and ``s`` have the same key."""
+    same = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) if null_safe else F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
     return reduce(lambda a, b: a & b, same)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Matched rows are replaced, others inserted. ``source`` is unique on its keys."""
-    s = source.select(*keys)
-    return target.join(s, matches(target, s, keys, null_safe), "left_anti").unionByName(source.select(*target.columns))
+    kept = target.alias("t").join(source.select(*keys).alias("s"), matches(keys, null_safe), "left_anti")
+    return kept.unionByName(source.select(*target.columns))
 
 
 def merge_partial(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
     """Matched rows take only the columns of ``update`` from the source; others are inserted whole."""
-    t, s = target.withColumn("_in_t", F.lit(True)), source.select(*target.columns).withColumn("_in_s", F.lit(True))
-    both = t.join(s, matches(t, s, keys), "full_outer")
-    pick = lambda c: F.when(t["_in_t"].isNull() | (s["_in_s"].isNotNull() & F.lit(c in update)), s[c]).otherwise(t[c]).alias(c)
+    t, s = target.withColumn("_in_t", F.lit(True)).alias("t"), source.select(*target.columns).withColumn("_in_s", F.lit(True)).alias("s")
+    both = t.join(s, matches(keys), "full_outer")
+    new = lambda c: F.col("_in_t").isNull() | (F.col("_in_s").isNotNull() & F.lit(c in update))
+    pick = lambda c: F.when(new(c), F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c)
     return both.select(*(pick(c) for c in target.columns))
 
 
@@ -54,7 +56,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Mapping[str, Column]
     s = source.withColumns(dict(zip(names, keys.values(), strict=True)))
     s = dedupe(s, names, *(F.col(c).asc_nulls_last() for c in source.columns))
     t = target.select(*(e.alias(n) for n, e in zip(names, keys.values(), strict=True)))
-    new = s.join(t, matches(s, t, names, null_safe), "left_anti").select(*target.columns)
+    new = s.alias("t").join(t.alias("s"), matches(names, null_safe), "left_anti").select(*target.columns)
     return target.unionByName(new)
 
 

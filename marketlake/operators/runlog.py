@@ -131,7 +131,7 @@ def resumes(log: DataFrame, least: int = 5) -> DataFrame:
 def text_match(tables: DataFrame, log: DataFrame) -> DataFrame:
     """Cost of the runs that name a table. Runs are summed by text first, names and texts are few: the pair test isn't by row."""
     texts = log.groupBy("text").agg(F.sum("credits").alias("c"), F.count("*").alias("n"))
-    hit = tables.join(texts, F.col("text").like(F.concat(F.lit("%"), F.col("table_name"), F.lit("%"))), "left")
+    hit = tables.join(texts, F.contains(F.col("text"), F.col("table_name")), "left")
     return hit.groupBy("table_name", "n_rows").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("runs"), F.round(F.coalesce(F.sum("c"), F.lit(0.0)), 4).alias("credits"))
 
 

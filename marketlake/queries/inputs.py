@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 AS_OF = "2001-08-02"
 RUN_AT = "2024-01-31 00:00:00"
@@ -118,6 +119,18 @@ VIEWS = {
 }
 
 
+def day() -> Column:
+    return F.lit(AS_OF).cast("date")
+
+
+def now() -> Column:
+    return F.lit(AS_OF).cast("timestamp")
+
+
+def run_at() -> Column:
+    return F.lit(RUN_AT).cast("timestamp")
+
+
 def needed(text: str) -> list[str]:
     """Definitions that a statement uses, in an order in which each can be read."""
     found: list[str] = []
