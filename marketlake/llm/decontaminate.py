@@ -70,7 +70,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     candidates = candidates.join(small(found), "window").groupBy("_k1", "_k2")
     candidates = candidates.agg(F.collect_set(F.struct(F.col("_start").alias("start"), F.col("_w").alias("w"), F.col("_items").alias("items"))).alias("_c"))
 
-    checked = each.join(candidates, ["_k1", "_k2"]).withColumn(
+    # The text moves, not its words: they are cut again where the candidates are.
+    checked = base.select("_k1", "_k2", F.col(text).alias("_text")).join(candidates, ["_k1", "_k2"]).withColumn("_all", words(F.col("_text")))
+    checked = checked.withColumn(
         "_c", F.filter("_c", lambda c: F.slice(F.col("_all"), c["start"] + 1, F.size(c["w"])) == c["w"])
     )
     hit = F.array_distinct(F.flatten(F.transform("_c", lambda c: F.sequence(c["start"], c["start"] + F.size(c["w"]) - 1))))
