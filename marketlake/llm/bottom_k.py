@@ -13,10 +13,11 @@ whole run, which keeps the lists of unlike documents short.
 
 Lists of up to ``SHORT_LIST`` classes give all their pairs. Longer lists give pairs
 with one pivot, the member in most long lists; once links are verified and
-components known, members outside a long list's largest component are paired with
-all members of other components. So every pair with a common run is tested unless
-a path of links already joins it, and a large group of near copies costs its size
-and not its square.
+components known, members of long lists in different components are paired if they share a
+shingle that few of them have, or if a bound allows a link without one: they then
+share no more shingles than either has that many have. So every pair with a common
+run is tested unless a path of links already joins it or the bound rules it out,
+and a large group of near copies costs about its size and not its square.
 
 Pairs pass a size bound and an estimate from the sketch of the union; the sets of
 those that remain are compared in full. Components come from alternating large-star
@@ -150,6 +151,13 @@ def stars(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def spread(nodes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(node, s, df): the shingles of the nodes, and how many of the nodes have each."""
+    need = nodes.select(F.col("node").alias("doc_id")).distinct()
+    each = full_sets(docs.join(need, "doc_id", "left_semi"), n).select(F.col("doc_id").alias("node"), F.explode("shingles").alias("s"))
+    return each.withColumn("df", F.count("*").over(Window.partitionBy("s")))
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, k: int, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
@@ -183,12 +191,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     classes = classes.agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(classes.where("node IS NOT NULL"), "classes")
 
-    runs = nodes.select("node", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("key")).distinct()
+    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("key")).distinct()
     lists = runs.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
     lists = stored(lists, "lists")
-    short = lists.where(F.col("size") <= SHORT_LIST).select("key", "node")
-    long = lists.where(F.col("size") > SHORT_LIST).select("key", "node")
-    pairs = short.withColumnRenamed("node", "a").join(short.withColumnRenamed("node", "b"), "key").where("a < b").select("a", "b")
+    short = lists.where(F.col("size") <= SHORT_LIST)
+    long = lists.where(F.col("size") > SHORT_LIST).select("key", "node", "n")
+    side = lambda c: short.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"))
+    alike = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    pairs = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & alike).select("a", "b")
     weight = long.groupBy("node").agg(F.count("*").alias("w"))
     pivots = long.join(weight, "node").groupBy("key").agg(F.max(F.struct(F.col("w"), F.col("node"))).alias("p"))
     spokes = long.join(pivots.select("key", F.col("p.node").alias("p")), "key").where("node <> p")
@@ -196,13 +206,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     links = verified(stored(pairs.unionByName(spokes).distinct(), "pairs"), nodes, docs, n, k, percent)
 
     roots = stars(links)
-    placed = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = stored(placed.join(main.select("key", "main"), "key"), "open")
-    rest = open_.where("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    rest = rest.join(open_.select("key", F.col("node").alias("y"), F.col("root").alias("ry")), "key").where("rx <> ry")
-    rest = stored(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    # Members of long lists that no path of links joins: they share a shingle that few of them have, or else no more
+    # than the shingles that many have. For most outliers of a group that is too little for any link.
+    shingles = stored(spread(long, docs, n), "spread")
+    common = shingles.where(F.col("df") > SHORT_LIST).groupBy("node").agg(F.count("*").alias("c"))
+    placed = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(common, "node", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    placed = stored(placed, "placed")
+    few = shingles.where(F.col("df").between(2, SHORT_LIST)).join(placed.select("node", "root", "n").distinct(), "node")
+    side = lambda c: few.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n")))
+    other = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    by_few = side("x").join(side("y"), "s").where(other).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+
+    least = placed.groupBy("key").agg(F.min("n").alias("n_min"))
+    able = placed.join(least, "key").where(100 * F.col("c") >= percent * (F.col("n") + F.greatest("n_min", "c") - F.col("c")))
+    sizes = able.groupBy("key", "root").agg(F.count("*").alias("s"))
+    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("s", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    # Lists with the same largest component are taken together, so that a pair comes once and not once a list.
+    open_ = stored(able.join(main.select("key", "main"), "key").select("main", "node", "root", "n", "c").distinct(), "open")
+    side = lambda c: open_.select("main", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "c")))
+    most = F.least("c_x", "c_y")
+    bound = (F.col("root_x") != F.col("root_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
+    by_many = side("x").where("root_x <> main").join(side("y"), "main").where(bound)
+    by_many = by_many.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    rest = stored(by_few.unionByName(by_many).distinct(), "pairs")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, nodes, docs, n, k, percent))
         roots = stars(links)
