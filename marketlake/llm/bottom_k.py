@@ -132,34 +132,40 @@ def run_keys(sketch: Column, n: Column) -> Column:
     )
 
 
-def stars(edges: DataFrame) -> DataFrame:
-    """(node, root): each node of the edges (a, b) that isn't the smallest of its component, with the smallest."""
+def stars(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(node, root): each node of the edges (a, b) that isn't the smallest of its component, with the smallest.
+
+    After a given number of rounds a root may not be the smallest yet, but still lies in the component.
+    """
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-    last = mark(e)
-    while last[0]:
+    last = mark(e) if rounds is None else None
+    while last[0] if rounds is None else rounds:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         near = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = stored(near.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        if rounds is not None:
+            rounds -= 1
+            continue
         now = mark(e)
         if now == last:
             break
         last = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
-def spread(nodes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def spread(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, s, df): the shingles of the nodes, and how many of the nodes have each."""
     need = nodes.select(F.col("node").alias("doc_id")).distinct()
-    each = full_sets(docs.join(need, "doc_id", "left_semi"), n).select(F.col("doc_id").alias("node"), F.explode("shingles").alias("s"))
+    each = sets.join(need, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), F.explode("shingles").alias("s"))
     return each.withColumn("df", F.count("*").over(Window.partitionBy("s")))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
+def likely(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose sizes and sketches allow a link, with the estimate."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
     rows = rows.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
@@ -169,15 +175,27 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, k: int
     # Five standard deviations below what the least similarity gives; exact where the sketches are whole sets.
     p = percent / 100
     floor = F.when((F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.col("_of") < k), p * F.col("_of")).otherwise(p * F.col("_of") - 5 * F.sqrt(p * (1 - p) * F.col("_of")) - 1)
-    likely = stored(rows.where(F.col("_both") >= F.floor(floor)).select("a", "b"), "likely")
-    need = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(full_sets(docs.join(need, "doc_id", "left_semi"), n), "sets")
-    rows = likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    rows = rows.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return stored(rows.where(F.col("_both") >= F.floor(floor)).select("a", "b", (F.col("_both") / F.col("_of")).alias("estimate")), "likely")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
+    pairs = pairs.select("a", "b")
+    need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    few = sets.join(need, "doc_id", "left_semi")
+    rows = pairs.join(few.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    rows = rows.join(few.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     return stored(rows.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b").distinct(), "links")
 
 
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that no path of links joins."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r_{c}"))
+    rows = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return rows.where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select(*pairs.columns)
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept. docs: doc_id, text.
 
@@ -191,7 +209,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     classes = classes.agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     nodes = stored(classes.where("node IS NOT NULL"), "classes")
 
-    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("key")).distinct()
+    runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("key"))
     lists = runs.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
     lists = stored(lists, "lists")
     short = lists.where(F.col("size") <= SHORT_LIST)
@@ -203,12 +221,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     pivots = long.join(weight, "node").groupBy("key").agg(F.max(F.struct(F.col("w"), F.col("node"))).alias("p"))
     spokes = long.join(pivots.select("key", F.col("p.node").alias("p")), "key").where("node <> p")
     spokes = spokes.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-    links = verified(stored(pairs.unionByName(spokes).distinct(), "pairs"), nodes, docs, n, k, percent)
-
-    roots = stars(links)
+    need = lists.select(F.col("node").alias("doc_id")).distinct()
+    sets = stored(full_sets(docs.join(need, "doc_id", "left_semi"), n), "sets")
+    hopeful = likely(pairs.unionByName(spokes).distinct(), nodes, k, percent)
+    # Each document's most promising partner first: most other pairs then lie within a component and need no sets.
+    ends = hopeful.select(F.col("a").alias("x"), F.col("b").alias("y"), "estimate").unionByName(hopeful.select(F.col("b").alias("x"), F.col("a").alias("y"), "estimate"))
+    best = ends.groupBy("x").agg(F.max_by("y", F.struct("estimate", "y")).alias("y"))
+    links = confirmed(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, percent)
+    links = links.unionByName(confirmed(stored(apart(hopeful, stars(links, 2)), "pairs"), sets, percent))
+    roots = stars(links, 2)
     # Members of long lists that no path of links joins: they share a shingle that few of them have, or else no more
     # than the shingles that many have. For most outliers of a group that is too little for any link.
-    shingles = stored(spread(long, docs, n), "spread")
+    shingles = stored(spread(long, sets), "spread")
     common = shingles.where(F.col("df") > SHORT_LIST).groupBy("node").agg(F.count("*").alias("c"))
     placed = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(common, "node", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     placed = stored(placed, "placed")
@@ -230,8 +254,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     by_many = by_many.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     rest = stored(by_few.unionByName(by_many).distinct(), "pairs")
     if not rest.isEmpty():
-        links = links.unionByName(verified(rest, nodes, docs, n, k, percent))
-        roots = stars(links)
+        links = links.unionByName(confirmed(likely(rest, nodes, k, percent), sets, percent))
+    roots = stars(links)
 
     known = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     out = members.select("doc_id", "n_shingles", "digest").join(known, "digest", "left")
