@@ -91,15 +91,21 @@ class Monotone:
         at = word * 64 + _select(~self.high[word], j - self.zeros[word]).astype(np.int64)
         return np.where(k > 0, at - j, 0)
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, -1 where it is missing: successor search in the bucket of its high bits."""
+    def find(self, values: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of each value, -1 where it is missing: successor search in the bucket of its high bits.
+
+        ``first`` and ``last`` (exclusive) narrow the search to a range of indexes for each value.
+        """
         v = values.astype(U64)
         top = (v >> U64(self.low)).astype(np.int64)
         inside = (top >= 0) & (top < self.buckets)
         top = np.where(inside, top, 0)
         start, end = self._after_zeros(top), self._after_zeros(top + 1)
         want = v & U64((1 << self.low) - 1)
-        lo, hi = start.copy(), np.where(inside, end, start)
+        end = np.where(inside, end, start)
+        if first is not None:
+            start, end = np.maximum(start, first), np.minimum(end, last)
+        lo, hi = start.copy(), end.copy()
         live = np.flatnonzero(lo < hi)
         while len(live):
             mid = (lo[live] + hi[live]) >> 1
@@ -107,6 +113,6 @@ class Monotone:
             lo[live] = np.where(less, mid + 1, lo[live])
             hi[live] = np.where(less, hi[live], mid)
             live = live[lo[live] < hi[live]]
-        hit = inside & (lo < end)
+        hit = lo < end
         hit[hit] = self.lows(lo[hit]) == want[hit]
         return np.where(hit, lo, -1)

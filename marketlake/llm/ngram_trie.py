@@ -155,7 +155,9 @@ class Trie:
             new[1:] = own[1:] != own[:-1]
             rank = level["first"].find(own[new])[np.cumsum(new) - 1]
             known = rank >= 0
-            i = level["successor"].find((rank[known].astype(U64) << U64(TAIL)) | tail(second[rows[known]]))
+            rank, each = np.unique(rank[known], return_inverse=True)
+            start, end = (level["pointer"].get(rank + k).astype(np.int64)[each] for k in (0, 1))
+            i = level["successor"].find((rank[each].astype(U64) << U64(TAIL)) | tail(second[rows[known]]), start, end)
             out[rows[known][i >= 0]] = level["codes"][i[i >= 0]] / -STEP
         return out
 
