@@ -78,6 +78,36 @@ def test_quality_rejects_other_text(spark):
     assert not got[900] and sum(got[i] for i in range(120)) == 120
 
 
+def test_quality_knows_other_scripts(spark):
+    r = random.Random(4)
+    rows, n = [], 0
+    for lang, parts, letters in (("ru", ["на", "ст", "ов", "пр", "ен", "то"], "щъжцфхэю"), ("ja", ["語は", "日本", "学校", "行く", "です", "本を"], "鬱鼠龍亀麒麟鳳凰")):
+        vocab = ["".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(200)]
+        for bad in [False] * 120 + [True]:
+            words = [r.choice(vocab) for _ in range(80)]
+            rows.append((n, " ".join("".join(r.choice(letters) for _ in w) if bad else w for w in words), lang, bad))
+            n += 1
+    out = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, bad boolean").drop("bad"))
+    got = {x.doc_id: x.kept for x in out.collect()}
+    assert all(got[i] != bad for i, _, _, bad in rows)
+
+
+def test_quality_models_are_by_language_and_sum_to_one(spark):
+    text = {"en": "the then hand and sand! " * 5 + "x1 Äé", "pt": "água não são mão pão " * 6}
+    docs = spark.createDataFrame([(" ".join(f"{w}{i}" if i % 9 == 0 else w for i, w in enumerate(t.split())), lang) for lang, t in text.items()], "text string, lang string")
+    docs = docs.withColumn("text", F.concat("text", F.lit(" "), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.lit("w"), i.cast("string"))), " ")))
+    model = quality.train(docs)
+    for row in docs.collect():
+        seen = {c for w in row.text.split() for c in w} | {quality.END_CHAR}
+        for context in ("\t\t\t", "\tth", "the", "zzz", "não"):
+            a, b, c = map(ord, context)
+            last = np.array([ord(x) for x in seen] + [0x4E00])
+            logs = model.score(quality.language(row.lang), np.full(len(last), a << 21 | b), np.int64(c << 21) | last)
+            assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+    own = lambda lang: model.score(quality.language(lang), np.array([ord("n") << 21 | ord("ã")]), np.array([ord("o") << 21 | 10]))[0]
+    assert own("pt") > own("en") + 1 and model.known("=pt") and not model.known("=it")
+
+
 def test_urls(spark):
     rules = [url_filter.Rule("block", "com", "/en/"), url_filter.Rule("allow", "example.com", "/en/7")]
     rows = [(i, f"http://a{i}.example.com/en/{i}") for i in range(40)] + [(100, None), (101, "x.com/en/1"), (102, "HTTP://EXAMPLE.com/en/7?x=/en/"), (103, "a://xcom/en/1"), (104, "a://com/en/"), (105, "a://h?p#f/"), (105, "a://h?p#f/"), (106, "")]
