@@ -108,6 +108,14 @@ def test_quality_models_are_by_language_and_sum_to_one(spark):
     assert own("pt") > own("en") + 1 and model.known("=pt") and not model.known("=it")
 
 
+def test_quality_rejects_labelled_bad_documents(spark, sf_dir):
+    folder = sf_dir.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    out = quality.quality(docs.select("doc_id", "text", "lang")).where("NOT base_failed").join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    kept = {r.label: (r.kept, r.n) for r in out.groupBy("label").agg(F.count_if("kept").alias("kept"), F.count("*").alias("n")).collect()}
+    assert kept[0][1] and kept[0][0] <= 0.1 * kept[0][1] and kept[1][0] >= 0.97 * kept[1][1]
+
+
 def test_urls(spark):
     rules = [url_filter.Rule("block", "com", "/en/"), url_filter.Rule("allow", "example.com", "/en/7")]
     rows = [(i, f"http://a{i}.example.com/en/{i}") for i in range(40)] + [(100, None), (101, "x.com/en/1"), (102, "HTTP://EXAMPLE.com/en/7?x=/en/"), (103, "a://xcom/en/1"), (104, "a://com/en/"), (105, "a://h?p#f/"), (105, "a://h?p#f/"), (106, "")]
