@@ -25,9 +25,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest id; repeated rows once."""
-    out = bottom_k.near_duplicates(docs.select("doc_id", "text"), n=5, percent=80)
-    gone = out.where(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    tagged = docs.withColumn("_k", F.xxhash64("doc_id", "text"))
+    verdict = bottom_k.near_duplicates(tagged.select(F.col("_k").alias("doc_id"), "text"), n=5, percent=80)
+    groups = verdict.select(F.col("doc_id").alias("_k"), F.col("component_id").alias("_c")).distinct()
+    rows = tagged.select("_k", "doc_id").distinct().join(groups, "_k")
+    first = rows.groupBy("_c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k"))["_k"].alias("_first"))
+    gone = groups.join(first, "_c").where("_k <> _first").select("_k")
+    return tagged.join(gone, "_k", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

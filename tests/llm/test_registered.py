@@ -116,3 +116,11 @@ def test_pipeline_stages_take_anything(spark, sf_dir, edge, none):
         out.collect()
     ids = sorted((r.doc_id, r.text) for r in corpus_pipeline.dedup_stage(spark, edge, sf_dir).where("doc_id IN (6, 7)").collect())
     assert ids == [(6, "a b c d e f g h")]
+
+
+def test_dedup_stage_judges_rows_not_ids(spark, sf_dir):
+    import corpus_pipeline
+
+    copied, unique = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = spark.createDataFrame([(3, copied), (5, copied), (5, unique), (None, copied)], "doc_id long, text string")
+    assert sorted(corpus_pipeline.dedup_stage(spark, rows, sf_dir).collect()) == [(3, copied), (5, unique)]
