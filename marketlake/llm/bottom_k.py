@@ -31,11 +31,12 @@ document, each with its own set size; rows without a doc_id are linked with noth
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, stored
@@ -161,7 +162,16 @@ def spread(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, s, df): the shingles of the nodes, and how many of the nodes have each."""
     need = nodes.select(F.col("node").alias("doc_id")).distinct()
     each = sets.join(need, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), F.explode("shingles").alias("s"))
-    return each.withColumn("df", F.count("*").over(Window.partitionBy("s")))
+    return each.join(each.groupBy("s").agg(F.count("*").alias("df")), "s").select("node", "s", "df")
+
+
+def least_common(of: int, p: float, loss: float = 1e-9) -> int:
+    """Fewest common values of ``of`` that a pair of similarity ``p`` has, but for a probability below ``loss``."""
+    below, c = 0.0, 0
+    while c < of and below + math.comb(of, c) * p**c * (1 - p) ** (of - c) < loss:
+        below += math.comb(of, c) * p**c * (1 - p) ** (of - c)
+        c += 1
+    return c
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -172,9 +182,10 @@ def likely(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFram
     # The k smallest of the union are the union's sketch; the share found in both estimates the similarity.
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
     rows = rows.withColumn("_both", F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))).withColumn("_of", F.size(union))
-    # Five standard deviations below what the least similarity gives; exact where the sketches are whole sets.
+    # Exact where the sketches are whole sets.
     p = percent / 100
-    floor = F.when((F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.col("_of") < k), p * F.col("_of")).otherwise(p * F.col("_of") - 5 * F.sqrt(p * (1 - p) * F.col("_of")) - 1)
+    least = F.element_at(F.array(*(F.lit(least_common(of, p)) for of in range(1, k + 1))), F.col("_of"))
+    floor = F.when((F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.col("_of") < k), p * F.col("_of")).otherwise(least)
     return stored(rows.where(F.col("_both") >= F.floor(floor)).select("a", "b", (F.col("_both") / F.col("_of")).alias("estimate")), "likely")
 
 
@@ -210,8 +221,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     nodes = stored(classes.where("node IS NOT NULL"), "classes")
 
     runs = nodes.select("node", "n", F.explode(run_keys(F.col("sketch"), F.col("n"))).alias("key"))
-    lists = runs.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    lists = stored(lists, "lists")
+    lists = stored(runs.join(runs.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key"), "lists")
     short = lists.where(F.col("size") <= SHORT_LIST)
     long = lists.where(F.col("size") > SHORT_LIST).select("key", "node", "n")
     side = lambda c: short.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}"))

@@ -185,6 +185,14 @@ def test_near_duplicates(spark, seed, n, monkeypatch):
     assert got == {k: (len(shingles(t, n)), c, c == k) for (k, t), c in zip(rows, components(rows, n).values(), strict=True)}
 
 
+def test_estimate_drops_hardly_any_pair_at_the_threshold():
+    import math
+
+    for p in (0.8, 0.85, 0.9, 0.95):
+        floor = bottom_k.least_common(96, p)
+        assert sum(math.comb(96, i) * p**i * (1 - p) ** (96 - i) for i in range(floor)) < 1e-9 and floor < 96 * p
+
+
 def test_near_duplicates_edges(spark, edge, none):
     out = bottom_k.near_duplicates(edge, 4).collect()
     assert len(out) == edge.count() and bottom_k.near_duplicates(none).count() == 0
