@@ -271,10 +271,10 @@ def test_decontamination(spark, edge, none):
                         found |= {str(item)} if item is not None else set()
         want.append((str(k), len(d), len(hit), ",".join(sorted(found)), bool(hit) and 20 * len(hit) >= len(d)))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("window", F.lit(1))
-    for limit in (decontaminate.BROADCAST_ROWS, 0):
-        decontaminate.BROADCAST_ROWS, kept = limit, decontaminate.BROADCAST_ROWS
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        decontaminate.BROADCAST_BYTES, kept = limit, decontaminate.BROADCAST_BYTES
         out = decontaminate.find_hits(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
-        decontaminate.BROADCAST_ROWS = kept
+        decontaminate.BROADCAST_BYTES = kept
         assert sorted((str(x.doc_id), x.n_words, x.n_hit, ",".join(x["items"]), x.contaminated) for x in out) == sorted(want)
     assert decontaminate.find_hits(none, bench).count() == 0 and decontaminate.find_hits(edge, bench.where("false")).where("n_hit > 0").count() == 0
 
