@@ -13,11 +13,11 @@ whole run, which keeps the lists of unlike documents short.
 
 Lists of up to ``SHORT_LIST`` classes give all their pairs. Longer lists give pairs
 with one pivot, the member in most long lists; once links are verified and
-components known, members of long lists in different components are paired if they share a
-shingle that few of them have, or if a bound allows a link without one: they then
-share no more shingles than either has that many have. So every pair with a common
-run is tested unless a path of links already joins it or the bound rules it out,
-and a large group of near copies costs about its size and not its square.
+components known, members of long lists in different components are paired if the
+prefixes of their sets, in one order of all shingles from rare to common, meet: linked
+sets always do. So every linked pair with a common run is tested unless a path of
+links already joins it, and a large group of near copies costs about its size and
+not its square.
 
 Pairs pass a size bound and an estimate from the sketch of the union; the sets of
 those that remain are compared in full. Components come from alternating large-star
@@ -36,59 +36,46 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import slices, stored, word_codes
 
-RUN, SHORT_LIST, KEPT_WORDS = 4, 16, 300_000
+RUN, SHORT_LIST = 4, 16
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-class Shingler:
-    """Sets of hashed shingles; hashes of words are kept by task."""
-
-    def __init__(self, n: int):
-        self.n, self.known = n, {}
-
-    def _mix(self, h: np.ndarray) -> np.ndarray:
-        h = (h ^ (h >> np.uint64(30))) * _M[1]
-        h = (h ^ (h >> np.uint64(27))) * _M[2]
-        return h ^ (h >> np.uint64(31))
-
-    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        """A sorted array of distinct signed hashes for each text."""
-        from xxhash import xxh3_64_intdigest
-
-        words = [(t or "").encode().lower().split() for t in texts]
-        seen: set[bytes] = set()
-        for w in words:
-            seen.update(w)
-        if len(self.known) + len(seen) > KEPT_WORDS:
-            self.known = {}
-        for w in seen:
-            if w not in self.known:
-                self.known[w] = xxh3_64_intdigest(w)
-        get, out = self.known.__getitem__, []
-        for w in words:
-            h = np.fromiter(map(get, w), np.uint64, len(w))
-            m = min(len(h), self.n)
-            if m:
-                s = np.full(len(h) - m + 1, m, np.uint64)
-                for i in range(m):
-                    s = self._mix(s * _M[0] + h[i : len(h) - m + 1 + i])
-                h = s
-            out.append(np.unique(h.view(np.int64)))
-        return out
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * _M[1]
+    h = (h ^ (h >> np.uint64(27))) * _M[2]
+    return h ^ (h >> np.uint64(31))
+
+
+def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """A sorted array of distinct signed hashes of n words for each text."""
+    from xxhash import xxh3_64_intdigest
+
+    codes, at, words = word_codes(texts)
+    known = np.fromiter(map(xxh3_64_intdigest, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+    hashes, out = known[codes], []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        h = hashes[a:b]
+        m = min(len(h), n)
+        if m:
+            s = np.full(len(h) - m + 1, m, np.uint64)
+            for i in range(m):
+                s = _mix(s * _M[0] + h[i : len(h) - m + 1 + i])
+            h = s
+        out.append(np.unique(h.view(np.int64)))
+    return out
 
 
 def sketches(docs: DataFrame, n: int, k: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set (null if it is empty) and sketch (the k smallest hashes, ascending)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
         for batch in slices(batches, "text"):
-            sets = shingler.sets(batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text"), n)
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             kept = [s[:k] for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in kept])]).astype(np.int32)
@@ -105,9 +92,8 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
     """doc_id and its whole set, for documents of candidate pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
         for batch in slices(batches, "text"):
-            sets = shingler.sets(batch.column("text").to_pylist())
+            sets = shingle_sets(batch.column("text"), n)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "shingles": pa.ListArray.from_arrays(pa.array(offsets), flat)})
@@ -240,29 +226,21 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     links = confirmed(best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, percent)
     links = links.unionByName(confirmed(stored(apart(hopeful, stars(links, 2)), "pairs"), sets, percent))
     roots = stars(links, 2)
-    # Members of long lists that no path of links joins: they share a shingle that few of them have, or else no more
-    # than the shingles that many have. For most outliers of a group that is too little for any link.
-    shingles = stored(spread(long, sets), "spread")
-    common = shingles.where(F.col("df") > SHORT_LIST).groupBy("node").agg(F.count("*").alias("c"))
-    placed = long.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(common, "node", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    placed = stored(placed, "placed")
-    few = shingles.where(F.col("df").between(2, SHORT_LIST)).join(placed.select("node", "root", "n").distinct(), "node")
-    side = lambda c: few.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n")))
-    other = (F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-    by_few = side("x").join(side("y"), "s").where(other).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
-
-    least = placed.groupBy("key").agg(F.min("n").alias("n_min"))
-    able = placed.join(least, "key").where(100 * F.col("c") >= percent * (F.col("n") + F.greatest("n_min", "c") - F.col("c")))
-    sizes = able.groupBy("key", "root").agg(F.count("*").alias("s"))
-    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("s", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    # Lists with the same largest component are taken together, so that a pair comes once and not once a list.
-    open_ = stored(able.join(main.select("key", "main"), "key").select("main", "node", "root", "n", "c").distinct(), "open")
-    side = lambda c: open_.select("main", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "c")))
-    most = F.least("c_x", "c_y")
-    bound = (F.col("root_x") != F.col("root_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
-    by_many = side("x").where("root_x <> main").join(side("y"), "main").where(bound)
-    by_many = by_many.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
-    rest = stored(by_few.unionByName(by_many).distinct(), "pairs")
+    # Members of long lists that no path of links joins. Their shingles are put in one order, rare ones first; linked sets
+    # must share one of the first ``n - ceil(n * percent / 100) + 1`` of either. A shingle whose holders have one root is done.
+    members_of = long.select("node", "n").distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = F.row_number().over(Window.partitionBy("node").orderBy("df", "s"))
+    prefix = spread(long, sets).withColumn("_at", first).join(members_of, "node")
+    prefix = prefix.where(F.col("_at") <= F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1)
+    prefix = stored(prefix.where("df > 1").select("s", "node", "root", "n"), "prefix")
+    by_root = prefix.groupBy("s", "root").agg(F.count("*").alias("c"))
+    open_ = by_root.groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    side = lambda c: prefix.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n")))
+    # Of two holders with different roots one is outside the largest component: pairs are its few with the others.
+    outer = side("x").join(open_.select("s", "main"), "s").where("root_x <> main").drop("main")
+    other = (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    rest = outer.join(side("y"), "s").where(other).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    rest = stored(rest.distinct(), "pairs")
     if not rest.isEmpty():
         links = links.unionByName(confirmed(likely(rest, nodes, k, percent), sets, percent))
     roots = stars(links)

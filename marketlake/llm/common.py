@@ -69,3 +69,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 4 << 20) ->
             end = max(start + 1, int(np.searchsorted(upto, done + size, "right")))
             yield batch.slice(start, end - start)
             start = end
+
+
+def word_codes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words ``[^\x20\x09-\x0D]+`` of the texts (null: none): their numbers, where each text's begin (and the end), and the distinct words."""
+    texts = pc.fill_null(texts, "")
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = cut.flatten().dictionary_encode()
+    codes, at = coded.indices.to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    none = pc.index(coded.dictionary, "").as_py()
+    if none < 0:
+        return codes, at, coded.dictionary
+    # Whitespace at either end of a text leaves an empty piece there.
+    keep = codes != none
+    codes, at = codes[keep], np.concatenate([[0], np.cumsum(keep)])[at]
+    return codes - (codes > none), at, pa.concat_arrays([coded.dictionary[:none], coded.dictionary[none + 1 :]])

@@ -164,6 +164,15 @@ def components(rows, n, percent=80):
     return {k: find(k) for k in root}
 
 
+def components_of_pairs(rows, n, percent=80):
+    """Of rows in pairs that share nothing with other pairs."""
+    out = {}
+    for (a, s), (b, t) in zip(rows[::2], rows[1::2], strict=True):
+        s, t = shingles(s, n), shingles(t, n)
+        out |= {a: a, b: a if 100 * len(s & t) >= percent * len(s | t) else b}
+    return out
+
+
 def variants(seed, words=40, groups=4, copies=30):
     r = random.Random(seed)
     out = []
@@ -185,6 +194,36 @@ def test_near_duplicates(spark, seed, n, monkeypatch):
     assert got == {k: (len(shingles(t, n)), c, c == k) for (k, t), c in zip(rows, components(rows, n).values(), strict=True)}
 
 
+def test_near_duplicates_in_a_large_group(spark):
+    """A group of 500 near copies and outliers that share most of its text, with lists of the usual length; all links are found."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(560):
+        text, edits = list(base), r.randint(1, 3) if i < 500 else r.randint(5, 12)
+        for _ in range(edits):
+            text[r.randrange(len(text))] = f"x{r.randint(0, 40)}"
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts))
+    got = {x.doc_id: x.component_id for x in bottom_k.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == components(rows, 4) and len(set(got.values())) > 1
+
+
+def test_recall_of_links(spark):
+    """Of all linked pairs, near the threshold above all, none is lost: pairs of a chain would show in its components."""
+    r = random.Random(12)
+    rows = []
+    for g in range(300):
+        a = [f"g{g}w{i}" for i in range(r.randint(60, 400))]
+        b, n = list(a), len(a)
+        for i in r.sample(range(0, n, 8), max(1, round(n * r.uniform(0.018, 0.03)))):
+            b[i] = f"y{i}"
+        rows += [(2 * g, " ".join(a)), (2 * g + 1, " ".join(b))]
+    want = components_of_pairs(rows, 4)
+    got = {x.doc_id: x.component_id for x in bottom_k.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert 50 < sum(k != v for k, v in want.items()) < 290 and got == want
+
+
 def test_estimate_drops_hardly_any_pair_at_the_threshold():
     import math
 

@@ -37,6 +37,18 @@ def test_pieces_equal_the_library():
     assert table.decode(at, flat) == [sp.decode(r) for r in runs]
 
 
+def test_word_codes():
+    import pyarrow as pa
+
+    from marketlake.llm.common import word_codes
+
+    texts = fuzz(500) + ["", None, " ", "A a\x0bB\x85 c", "a", " a", "a "]
+    for some in (texts, [], [None], ["a b"]):
+        codes, at, words = word_codes(pa.array(some, pa.string()))
+        got = [[words[i].as_py() for i in codes[a:b]] for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert got == [[w.decode() for w in (t or "").encode().lower().split()] for t in some]
+
+
 def test_pieces_forget(monkeypatch):
     monkeypatch.setattr(pieces, "TABLE_WORDS", 50)
     table, texts = pieces.WordTable(tokenizer("piece_bpe_32k.model")), fuzz(400)
