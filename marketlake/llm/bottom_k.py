@@ -232,13 +232,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     first = F.row_number().over(Window.partitionBy("node").orderBy("df", "s"))
     prefix = spread(long, sets).withColumn("_at", first).join(members_of, "node")
     prefix = prefix.where(F.col("_at") <= F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1)
-    prefix = stored(prefix.where("df > 1").select("s", "node", "root", "n"), "prefix")
+    prefix = stored(prefix.where("df > 1").select("s", "node", "root", "n", "_at"), "prefix")
     by_root = prefix.groupBy("s", "root").agg(F.count("*").alias("c"))
     open_ = by_root.groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    side = lambda c: prefix.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n")))
+    side = lambda c: prefix.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "_at")))
     # Of two holders with different roots one is outside the largest component: pairs are its few with the others.
     outer = side("x").join(open_.select("s", "main"), "s").where("root_x <> main").drop("main")
-    other = (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+    # At the first shingle that two sets share, no more than the rest of either can follow.
+    most = 1 + F.least(F.col("n_x") - F.col("_at_x"), F.col("n_y") - F.col("_at_y"))
+    other = (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & ((100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y")))
     rest = outer.join(side("y"), "s").where(other).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     rest = stored(rest.distinct(), "pairs")
     if not rest.isEmpty():
