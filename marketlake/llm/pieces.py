@@ -3,12 +3,14 @@
 No piece of such a model holds a whitespace marker after another character, so a
 segmentation never crosses from one marked word (``▁▁word``: markers, then the
 rest) to the next. Each task keeps a table of the distinct marked words it has met;
-the library segments every one of them once, and ids are joined back by position.
-Decoding goes the same way over runs of ids that begin with a marked piece.
+the library segments every one of them once and decodes its ids once, and both are
+joined back by position. Ids alone are decoded the same way, over runs of ids that
+begin with a marked piece.
 
 The table is per task and is emptied beyond ``TABLE_WORDS`` entries; results don't
 depend on that. It replaces a shuffle of every word's position, which would move
-several times the input.
+several times the input. Words are cut, told apart and put together in Arrow; only
+distinct words become Python objects.
 
 Defined results: a null or empty text has the end id alone; ids that are null give
 an empty text. Models that don't meet the condition above raise ValueError.
@@ -22,24 +24,30 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import slices
 
 MARK = "▁"
-TABLE_WORDS = 300_000
+TABLE_WORDS = 200_000
 _CHUNK = re.compile(" +[^ ]*")
 
 
-def chunks(text: str) -> list[str]:
-    """Marked words of a text, each without its first marker; markers as spaces."""
-    if not text:
-        return []
-    text = text.replace(MARK, " ")
-    if "  " in text or text[0] == " ":
-        return [c[1:] for c in _CHUNK.findall(" " + text)]
-    return text.split(" ")
+def chunks(texts: pa.Array) -> pa.Array:
+    """Marked words of each text, each without its first marker; markers as spaces."""
+    texts = pc.replace_substring(pc.fill_null(texts, "").cast(pa.string()), MARK, " ")
+    odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " ")), pc.equal(texts, ""))
+    some = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    cut = pc.split_pattern(texts, " ")
+    if not len(some):
+        return cut
+    # Runs of markers belong to the word behind them.
+    runs = [[c[1:] for c in _CHUNK.findall(" " + t)] if t else [] for t in texts.take(pa.array(some)).to_pylist()]
+    order = np.arange(len(texts))
+    order[some] = len(texts) + np.arange(len(some))
+    return pa.concat_arrays([cut, pa.array(runs, cut.type)]).take(pa.array(order))
 
 
 class WordTable:
@@ -61,46 +69,39 @@ class WordTable:
         self.clear()
 
     def clear(self) -> None:
+        # Row 0 is the end of a text.
         self.row: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.flat = np.zeros(0, np.int32)
-        self.at = np.zeros(1, np.int64)
+        self.ids = pa.array([[self.end]], pa.list_(pa.int32()))
+        self.texts = pa.array([""], pa.string())
         self.surface: dict[bytes, str] = {}
 
-    def add(self, words: set[str]) -> None:
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Rows of distinct words in the table; new ones are segmented."""
         new = [w for w in words if w not in self.row]
-        if not new:
-            return
         if len(self.row) + len(new) > TABLE_WORDS:
             self.clear()
-            new = list(words)
-        ids = [x if w else [self.alone] for w, x in zip(new, self.sp.encode(new, num_threads=1), strict=True)]
-        for w in new:
-            self.row[w] = len(self.row)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Offsets (one more than texts) and ids, an end id after each text."""
-        words = [chunks(t or "") for t in texts]
-        seen: set[str] = set()
-        for w in words:
-            seen.update(w)
-        self.add(seen)
-        get = self.row.__getitem__
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        rows = np.fromiter((get(x) for w in words for x in w), np.int64, int(counts.sum()))
-        sizes = self.at[rows + 1] - self.at[rows]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        ends = upto[np.cumsum(counts)]
-        offsets = np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
-        out = np.empty(int(offsets[-1]), np.int32)
-        out[offsets[1:] - 1] = self.end
-        keep = np.ones(len(out), bool)
-        keep[offsets[1:] - 1] = False
-        out[keep] = self.flat[np.repeat(self.at[rows] - upto[:-1], sizes) + np.arange(int(upto[-1]))]
-        return offsets, out
+            new = words
+        if new:
+            ids = [x if w else [self.alone] for w, x in zip(new, self.sp.encode(new, num_threads=1), strict=True)]
+            self.row.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
+            self.ids = pa.concat_arrays([self.ids, pa.array(ids, self.ids.type)])
+            self.texts = pa.concat_arrays([self.texts, pa.array(self.sp.decode(ids), pa.string())])
+        return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: pa.Array, decoded: bool = False) -> tuple[pa.ListArray, pa.Array | None]:
+        """Ids of each text, an end id after the others, and the texts decoded from them."""
+        cut = chunks(texts)
+        coded = cut.flatten().dictionary_encode()
+        rows = self.rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)
+        spread = self.ids.take(pa.array(np.insert(rows, ends, 0)))
+        upto = np.concatenate([[0], np.cumsum(pc.list_value_length(spread).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        at = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+        out = pa.ListArray.from_arrays(pa.array(upto[at], pa.int32()), spread.flatten())
+        if not decoded:
+            return out, None
+        words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), self.texts.take(pa.array(rows)))
+        return out, pc.binary_join(words, " ")
 
     def decode(self, offsets: np.ndarray, ids: np.ndarray) -> list[str]:
         """Texts of the runs of ids between the offsets."""
@@ -143,11 +144,8 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_table(model)
         for batch in slices(batches, text):
-            offsets, flat = words.encode(batch.column(text).to_pylist())
-            own = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))]
-            if decoded:
-                own.append(pa.array(words.decode(offsets, flat), pa.string()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own], names=schema.names)
+            own = words.encode(batch.column(text), decoded is not None)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own[: 1 + (decoded is not None)]], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

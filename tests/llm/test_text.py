@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketlake.llm import ngram_trie, pieces, token_counts
@@ -27,19 +28,17 @@ def test_pieces_equal_the_library():
 
     model, texts = tokenizer("piece_bpe_32k.model"), fuzz()
     sp, table = sentencepiece.SentencePieceProcessor(model_file=model), pieces.WordTable(model)
-    offsets, ids = table.encode(texts)
-    decoded = table.decode(offsets, ids)
+    ids, joined = table.encode(pa.array(texts, pa.string()), decoded=True)
+    decoded = table.decode(ids.offsets.to_numpy(), ids.flatten().to_numpy())
     for i, t in enumerate(texts):
         want = sp.encode(t or "") + [sp.eos_id()]
-        assert ids[offsets[i] : offsets[i + 1]].tolist() == want and decoded[i] == sp.decode(want)
+        assert ids[i].as_py() == want and decoded[i] == joined[i].as_py() == sp.decode(want)
     runs = [[1, 450, 338], [338, 2, 1, 29871], [], [29871, 29871], [10, 13, 450]]
     flat, at = np.array([x for r in runs for x in r], np.int32), np.cumsum([0, *map(len, runs)])
     assert table.decode(at, flat) == [sp.decode(r) for r in runs]
 
 
 def test_word_codes():
-    import pyarrow as pa
-
     from marketlake.llm.common import word_codes
 
     texts = fuzz(500) + ["", None, " ", "A a\x0bB\x85 c", "a", " a", "a "]
@@ -52,8 +51,10 @@ def test_word_codes():
 def test_pieces_forget(monkeypatch):
     monkeypatch.setattr(pieces, "TABLE_WORDS", 50)
     table, texts = pieces.WordTable(tokenizer("piece_bpe_32k.model")), fuzz(400)
-    want = pieces.WordTable(tokenizer("piece_bpe_32k.model")).encode(texts)[1]
-    assert np.array_equal(np.concatenate([table.encode(texts[i : i + 20])[1] for i in range(0, len(texts), 20)]), want)
+    monkeypatch.setattr(pieces, "TABLE_WORDS", 10**6)
+    want = pieces.WordTable(tokenizer("piece_bpe_32k.model")).encode(pa.array(texts, pa.string()))[0].to_pylist()
+    monkeypatch.setattr(pieces, "TABLE_WORDS", 50)
+    assert sum((table.encode(pa.array(texts[i : i + 20], pa.string()))[0].to_pylist() for i in range(0, len(texts), 20)), []) == want
 
 
 def test_pieces_frames(spark, edge, none):
