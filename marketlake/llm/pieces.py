@@ -135,17 +135,22 @@ def _pass_on(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
-    """``df`` without its text, with ``ids``: the text's ids and an end id. decoded: a column for the text decoded from them."""
+def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None, same: str | None = None) -> DataFrame:
+    """``df`` without its text, with ``ids``: the text's ids and an end id.
+
+    decoded: a column for the text decoded from them. same: a column for whether that is the text (null: the empty text).
+    """
     schema = _pass_on(df.drop(text), ids, T.ArrayType(T.IntegerType()))
-    kept = [f.name for f in schema.fields[:-1] if f.name != decoded]
-    schema = T.StructType([*(schema[c] for c in kept), schema[ids], *([T.StructField(decoded, T.StringType())] if decoded else [])])
+    more = [T.StructField(name, kind()) for name, kind in ((decoded, T.StringType), (same, T.BooleanType)) if name]
+    kept = [f.name for f in schema.fields[:-1] if f.name not in (decoded, same)]
+    schema = T.StructType([*(schema[c] for c in kept), schema[ids], *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_table(model)
         for batch in slices(batches, text):
-            own = words.encode(batch.column(text), decoded is not None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own[: 1 + (decoded is not None)]], names=schema.names)
+            found, back = words.encode(batch.column(text), bool(more))
+            own = [found, *([back] if decoded else []), *([pc.equal(back, pc.fill_null(batch.column(text), ""))] if same else [])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
