@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mounted, shared_dir, slices
+from .common import mounted, shared_dir, slices, word_codes
 from .elias_fano import U64, Monotone, load, save
 
 SPREAD, TAIL, STEP = 4, 32, 1000
@@ -59,30 +59,26 @@ class Words:
         self.ids = {b"\t": 0, b"\n": 1}  # no word holds these
         self.hashes = np.array([self.digest(b"\t"), self.digest(b"\n")], U64)
 
-    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words, each text between a start and an end, and the sizes with both."""
-        words = [(t or "").encode().lower().split() for t in texts]
-        seen: set[bytes] = set()
-        for w in words:
-            seen.update(w)
-        new = [w for w in seen if w not in self.ids]
-        for w in new:
-            self.ids[w] = len(self.ids)
+        codes, at, words = word_codes(texts)
+        words = words.cast(pa.binary()).to_pylist()
+        new = [w for w in words if w not in self.ids]
+        self.ids.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
         self.hashes = np.concatenate([self.hashes, np.fromiter(map(self.digest, new), U64, len(new))])
-        sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+        sizes = np.diff(at) + 2
         ends = np.cumsum(sizes)
         out = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
         inner = np.ones(len(out), bool)
         inner[ends - 1] = inner[ends - sizes] = False
         out[ends - sizes], out[ends - 1] = 0, 1
-        get = self.ids.__getitem__
-        out[inner] = np.fromiter((get(x) for w in words for x in w), np.int64, int(inner.sum()))
+        out[inner] = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))[codes]
         return out, sizes
 
 
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
     for batch in slices(batches, "text", SLICE):
-        yield [t for k, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if not held_out(k)]
+        yield batch.column("text").filter(pa.array([not held_out(k) for k in batch.column("doc_id").to_pylist()], pa.bool_()))
 
 
 def _blobs(where: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -273,7 +269,7 @@ def score(docs: DataFrame, opened: Callable[[], Trie], mu: float = 150.0) -> Dat
                 words.clear()
                 counts = trie.counts(words.hashes)
             keys = batch.column("doc_id").to_pylist()
-            ids, sizes = words.numbers(batch.column("text").to_pylist())
+            ids, sizes = words.numbers(batch.column("text"))
             counts = np.concatenate([counts, trie.counts(words.hashes[len(counts) :])])
             log_p = np.log10(trie.p(counts)) if trie.total else np.zeros(len(counts))
             starts = np.cumsum(sizes) - sizes
