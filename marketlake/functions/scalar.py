@@ -82,6 +82,6 @@ def preview(text: Column, n: int) -> Column:
 
 
 def clean_date(c: Column) -> Column:
-    """A date inside tags or other text; the first that is well formed."""
-    plain = F.regexp_replace(c, "<[^>]*>", "")
-    return to_date(F.nullif(F.regexp_extract(plain, r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")))
+    """The date that a text begins with, once space around it and tags are gone; null if it begins otherwise."""
+    plain = F.regexp_replace(F.trim(c), "<.*?>", "")
+    return to_date(F.nullif(F.regexp_extract(plain, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("")))

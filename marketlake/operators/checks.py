@@ -113,10 +113,12 @@ def staging_profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def schema_issues(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Columns that are missing, unexpected or of another type."""
+    """Columns that are missing, unexpected or of another type, and how many rows hold a value there."""
     have, want = dict(df.dtypes), {f.name: f.dataType.simpleString() for f in contract}
     rows = [(c, want.get(c), have.get(c), "missing" if c not in have else "unexpected" if c not in want else "type") for c in sorted({*have, *want}) if have.get(c) != want.get(c)]
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, found string, issue string")
+    issues = df.sparkSession.createDataFrame(rows, "column string, expected string, found string, issue string")
+    filled = df.agg(*(F.count(F.col(f"`{c}`")).alias(c) for c in df.columns)).select(F.explode(F.create_map(*(x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))))).alias("column", "n_filled"))
+    return issues.join(filled, "column", "left").withColumn("n_filled", F.coalesce("n_filled", F.lit(0).cast("long")))
 
 
 def id_conflicts(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -93,13 +93,14 @@ def cost_rollup(log: DataFrame, files: DataFrame, tables: DataFrame, now: Column
     return week.crossJoin(load).crossJoin(store).withColumn("compute_month", F.round(F.col("compute_week") * 52 / 12, 4))
 
 
-def layout_advice(tables: DataFrame, large: int = 3_000_000, medium: int = 1_000_000) -> DataFrame:
+def layout_advice(tables: DataFrame, large: int = 1_000_000, small: int = 100_000) -> DataFrame:
+    """Whether a table needs a layout key: large ones without any do, those below ``small`` are not worth one."""
     n, key = F.col("n_rows"), F.col("layout_key")
-    advice = F.when((n > large) & key.isNull(), "ADD_LAYOUT").when((n > medium) & key.isNull(), "CONSIDER").when(key.isNotNull(), "HAS_LAYOUT").otherwise("NONE")
+    advice = F.when(key.isNull() & (n > large), "CONSIDER").when(n < small, "TOO_SMALL").otherwise("CONFIGURED")
     return tables.select("table_name", "n_rows", "layout_key", advice.alias("advice"))
 
 
-def slow_advice(log: DataFrame, avg_s: float = 150.0, max_s: float = 380.0) -> DataFrame:
+def slow_advice(log: DataFrame, avg_s: float = 60.0, max_s: float = 300.0) -> DataFrame:
     out = log.groupBy("kind").agg(F.round(F.avg(seconds()), 4).alias("avg_seconds"), F.round(F.max(seconds()), 4).alias("max_seconds"))
     return out.withColumn("advice", F.when(F.col("avg_seconds") > avg_s, "OPTIMISE").when(F.col("max_seconds") > max_s, "CHECK_OUTLIERS").otherwise("OK"))
 
@@ -122,9 +123,9 @@ def loads_by_class(log: DataFrame) -> DataFrame:
     return by_class(log.where(operation(F.col("text")).isin("LOAD", "MERGE", "INSERT")), [day()])
 
 
-def resumes(log: DataFrame, least: int = 5) -> DataFrame:
-    """Users by day with at least so many of two kinds of event together."""
-    out = log.groupBy(day(), "user_name").agg(F.count_if(F.col("kind") == "signup").alias("resumes"), F.count_if(F.col("kind") == "view").alias("suspends"))
+def resumes(log: DataFrame, resume: str = "RESUME", suspend: str = "SUSPEND", least: int = 5) -> DataFrame:
+    """Users by day with at least so many events of the two kinds together."""
+    out = log.groupBy(day(), "user_name").agg(F.count_if(F.col("kind") == resume).alias("resumes"), F.count_if(F.col("kind") == suspend).alias("suspends"))
     return out.where(F.col("resumes") + F.col("suspends") >= least)
 
 

@@ -79,10 +79,13 @@ def due(
 
 
 def by_priority(wm: DataFrame, as_of: Column, policy: DataFrame) -> DataFrame:
-    """Rows past their source's refresh interval, with place: never processed first, then the stalest. policy: table_name, refresh_days, priority."""
+    """Rows past their source's refresh interval, with place: never processed first, then the stalest. policy: table_name, refresh_days, priority.
+
+    A source without a policy has no interval: all of its rows are due, its priority is null.
+    """
     last = F.col("last_successful_run")
-    rows = wm.join(F.broadcast(policy), "table_name")  # one row a source
-    rows = rows.where(last.isNull() | (F.datediff(as_of, F.to_date(last)) > F.col("refresh_days")))
+    rows = wm.join(F.broadcast(policy), "table_name", "left")  # one row a source
+    rows = rows.where(last.isNull() | F.col("refresh_days").isNull() | (F.datediff(as_of, F.to_date(last)) > F.col("refresh_days")))
     order = Window.partitionBy("table_name").orderBy(F.col("last_successful_run").asc_nulls_first(), "symbol")
     return rows.withColumn("place", F.row_number().over(order))
 
@@ -172,7 +175,7 @@ def summary(wm: DataFrame) -> DataFrame:
 
 
 #: Days between refreshes and rank of importance (fixed values).
-POLICY = (("TIME_SERIES_DAILY_ADJUSTED", 1, 1), ("COMPANY_OVERVIEW", 30, 2), ("INSIDER_TRANSACTIONS", 7, 3), ("BALANCE_SHEET", 90, 4), ("INCOME_STATEMENT", 90, 4), ("CASH_FLOW", 90, 4))
+POLICY = (("TIME_SERIES_DAILY_ADJUSTED", 1, 1), ("LISTING_STATUS", 7, 2), ("COMPANY_OVERVIEW", 30, 3), ("BALANCE_SHEET", 90, 4))
 
 
 def policy(spark: SparkSession) -> DataFrame:

@@ -12,12 +12,14 @@ from marketlake.specs import SPECS
 
 
 def prepare(staged: DataFrame, source: str, *recency: str) -> DataFrame:
-    """Typed rows with every required field, one for each key: the most recent."""
+    """Typed rows with every required field, one for each key: the most recent, or the largest where no recency is given."""
     spec = SPECS[source]
     rows = required(typed(staged, spec), spec)
     if "close" in rows.columns:
         rows = rows.where(F.col("close") > 0)
-    return latest(rows, spec.keys, *recency)
+    names = [f"_key_{i}" for i in range(len(spec.keys))]
+    rows = rows.withColumns({n: F.expr(k) for n, k in zip(names, spec.keys, strict=True)})
+    return latest(rows, names, *(recency or rows.columns[: -len(names)])).drop(*names)
 
 
 def load(target: DataFrame, staged: DataFrame, source: str, *recency: str, as_of: Column | None = None) -> DataFrame:
@@ -29,7 +31,8 @@ def load(target: DataFrame, staged: DataFrame, source: str, *recency: str, as_of
     rows = rows.select(*target.columns)
     if spec.merge == "replace":
         return rows
-    return insert_only(target, rows, spec.keys) if spec.merge == "insert_only" else merge_upsert(target, rows, spec.keys)
+    keys = {k: F.expr(k) for k in spec.keys}
+    return insert_only(target, rows, keys) if spec.merge == "insert_only" else merge_upsert(target, rows, spec.keys)
 
 
 def advance(wm: DataFrame, source: str, committed: DataFrame, date: str, now: Column) -> DataFrame:

@@ -74,7 +74,7 @@ class TableStore:
             return {"": base}
         key = F.coalesce(F.col(partition).cast("string"), F.lit("__none__"))
         out = df.withColumn("_part", key)
-        out = out.repartition("_part") if not sort else out.repartitionByRange("_part", *sort).sortWithinPartitions("_part", *sort)
+        out = out.hint("rebalance", "_part") if not sort else out.repartitionByRange("_part", *sort).sortWithinPartitions("_part", *sort)
         out.write.partitionBy("_part").parquet(base)
         parts = self.spark.read.parquet(base).select(F.col("_part").cast("string")).distinct().collect()
         return {r[0]: f"{base}/_part={r[0]}" for r in parts}

@@ -42,8 +42,8 @@ G.add("wm_transcript_due", lambda t: W.due(t.wm, CALLS, day(), stale_days=135, s
       AND (last_successful_run IS NULL OR last_successful_run < TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 168 HOUR)""")
 G.add("wm_mode", lambda t: W.mode(t.wm, day()).select("table_name", "symbol", "mode"),
       f"SELECT table_name, symbol, CASE WHEN first_fiscal_date IS NOT NULL AND last_fiscal_date IS NOT NULL AND {D} - last_fiscal_date < 5 THEN 'compact' ELSE 'full' END AS mode FROM wm")
-G.add("wm_compact100", lambda t: W.compact(t.prices, 5).select("symbol", "date", "close"),
-      "SELECT symbol, date, close FROM prices QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 5")
+G.add("wm_compact100", lambda t: W.compact(t.prices, 100).select("symbol", "date", "close"),
+      "SELECT symbol, date, close FROM prices QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 100")
 FUNDAMENTAL = ("BALANCE_SHEET", "INCOME_STATEMENT", "CASH_FLOW", "EARNINGS_CALL_TRANSCRIPT")
 G.add("wm_enhanced", lambda t: W.with_fundamentals(W.due(t.wm, PRICES, day()), t.wm, FUNDAMENTAL).select("symbol"),
       f"SELECT symbol FROM wm WHERE table_name = '{PRICES}' AND api_eligible = 'YES' AND symbol IN (SELECT symbol FROM wm WHERE table_name IN {FUNDAMENTAL} AND last_fiscal_date IS NOT NULL)")
@@ -93,7 +93,7 @@ POLICY = ", ".join(map(str, W.POLICY))
 G.add_spark("wm_policy", lambda s, t: W.by_priority(t.wm, day(), W.policy(s)).select("table_name", "symbol", "priority", F.col("place").cast("long").alias("place")),
       f"""WITH p(table_name, d, priority) AS (VALUES {POLICY})
       SELECT wm.table_name, symbol, priority, row_number() OVER (PARTITION BY wm.table_name ORDER BY last_successful_run NULLS FIRST, symbol) AS place
-      FROM wm JOIN p ON p.table_name = wm.table_name WHERE last_successful_run IS NULL OR {D} - CAST(last_successful_run AS DATE) > d""")
+      FROM wm LEFT JOIN p ON p.table_name = wm.table_name WHERE last_successful_run IS NULL OR d IS NULL OR {D} - CAST(last_successful_run AS DATE) > d""")
 
 
 def transitions(t: Tables) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions import scalar
-from marketlake.plans.loads import prepare
+from marketlake.plans.loads import load, prepare
 from marketlake.plans.scratch import scratch
 from marketlake.plans.store import TableStore
 from marketlake.queries.inputs import AS_OF
@@ -88,26 +88,34 @@ G.add(
 )
 G.add(
     "clean_dates",
-    lambda t: t.insiders.select("seq", F.when(F.col("seq") % 7 == 0, F.lit("<i>soon</i>")).otherwise(F.concat(F.lit(" <b>"), F.date_format("transaction_date", "yyyy-MM-dd"), F.lit("</b> x"))).alias("raw")).select("seq", scalar.clean_date(F.col("raw")).alias("transaction_date")),
-    "SELECT seq, CASE WHEN seq % 7 <> 0 THEN transaction_date END AS transaction_date FROM insiders",
+    lambda t: t.insiders.select("seq", F.when(F.col("seq") % 7 == 0, F.lit("<i>soon</i>")).when(F.col("seq") % 7 == 1, F.concat(F.lit("x "), F.date_format("transaction_date", "yyyy-MM-dd"))).otherwise(F.concat(F.lit(" <b>"), F.date_format("transaction_date", "yyyy-MM-dd"), F.lit("</b> x"))).alias("raw")).select("seq", scalar.clean_date(F.col("raw")).alias("transaction_date")),
+    "SELECT seq, CASE WHEN seq % 7 > 1 THEN transaction_date END AS transaction_date FROM insiders",
 )
 
 
 def indicator_points(t: Tables) -> DataFrame:
-    return t.orders.where("o_orderkey % 50 = 0").select(
-        F.element_at(F.array(*(F.lit(r[0]) for r in payloads.INDICATORS)), (F.col("o_orderkey") / 50 % 8 + 1).cast("int")).alias("indicator_name"),
-        F.to_date("o_orderdate").alias("date"), F.when(F.col("o_orderkey") % 150 == 0, ".").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("value"), "o_orderkey",
+    n = len(payloads.INDICATORS)
+    return t.orders.select(
+        F.element_at(F.array(*(F.lit(r[0]) for r in payloads.INDICATORS)), (F.col("o_orderkey") % n + 1).cast("int")).alias("function_name"),
+        F.to_date("o_orderdate").alias("date"), F.when(F.col("o_orderkey") % 7 == 0, ".").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("value"), "o_orderkey",
     )
 
 
+# The catalogue as the sources of the data publish it.
+CATALOGUE = """cat(k, function_name, "interval", indicator_name, maturity) AS (VALUES
+    (0, 'REAL_GDP', 'quarterly', 'Real GDP', NULL), (1, 'REAL_GDP_PER_CAPITA', 'quarterly', 'Real GDP Per Capita', NULL),
+    (2, 'TREASURY_YIELD_10YEAR', 'daily', 'Treasury Yield 10 Year', '10year'), (3, 'TREASURY_YIELD_3MONTH', 'daily', 'Treasury Yield 3 Month', '3month'),
+    (4, 'TREASURY_YIELD_2YEAR', 'daily', 'Treasury Yield 2 Year', '2year'), (5, 'TREASURY_YIELD_5YEAR', 'daily', 'Treasury Yield 5 Year', '5year'),
+    (6, 'TREASURY_YIELD_7YEAR', 'daily', 'Treasury Yield 7 Year', '7year'), (7, 'TREASURY_YIELD_30YEAR', 'daily', 'Treasury Yield 30 Year', '30year'),
+    (8, 'FEDERAL_FUNDS_RATE', 'daily', 'Federal Funds Rate', NULL), (9, 'CPI', 'monthly', 'Consumer Price Index', NULL), (10, 'INFLATION', 'monthly', 'Inflation Rate', NULL),
+    (11, 'RETAIL_SALES', 'monthly', 'Retail Sales', NULL), (12, 'DURABLES', 'monthly', 'Durable Goods Orders', NULL), (13, 'UNEMPLOYMENT', 'monthly', 'Unemployment Rate', NULL),
+    (14, 'NONFARM_PAYROLL', 'monthly', 'Total Nonfarm Payroll', NULL))"""
 G.add_spark(
     "indicator_enrich",
-    lambda s, t: indicator_points(t).join(F.broadcast(payloads.catalogue(s)), "indicator_name").select("o_orderkey", "indicator_name", "function_name", "maturity", "interval", "date", scalar.to_double(F.col("value")).alias("value")),
-    """WITH cat(k, indicator_name, function_name, maturity, "interval") AS (VALUES """
-    + ", ".join(f"({i}, '{n}', '{f}', {'NULL' if m is None else repr(m)}, '{v}')" for i, (n, f, m, v, _) in enumerate(payloads.INDICATORS))
-    + """) SELECT o_orderkey, indicator_name, function_name, maturity, "interval", CAST(o_orderdate AS DATE) AS date,
-        CASE WHEN o_orderkey % 150 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS value
-    FROM orders JOIN cat ON (o_orderkey // 50) % 8 = k WHERE o_orderkey % 50 = 0""",
+    lambda s, t: indicator_points(t).join(F.broadcast(payloads.catalogue(s)), "function_name").select("o_orderkey", "indicator_name", "function_name", "maturity", "interval", "date", scalar.to_double(F.col("value")).alias("value")),
+    f"""WITH {CATALOGUE} SELECT o_orderkey, indicator_name, function_name, maturity, "interval", CAST(o_orderdate AS DATE) AS date,
+        CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS value
+    FROM orders JOIN cat ON o_orderkey % 15 = k""",
 )
 G.add("symbol_date_range", lambda t: payloads.date_span(t.prices, "symbol", "date"), "SELECT symbol, min(date) AS first_date, max(date) AS last_date, count(*) AS n_rows FROM prices GROUP BY symbol")
 
@@ -117,7 +125,7 @@ def series(t: Tables) -> DataFrame:
     m = t.orders.groupBy(F.col("o_orderpriority").alias("commodity"), F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("date")).agg(F.max("o_totalprice").cast("decimal(18,2)").cast("string").alias("value"))
     both = m.groupBy("commodity").agg(F.collect_list(F.struct("date", "value")).alias("d"))
     is_map = F.substring("commodity", 1, 1).isin("1", "3")
-    text = F.when(is_map, F.to_json(F.struct(F.map_from_entries("d").alias("values")))).otherwise(F.to_json(F.struct(F.col("d").alias("data"))))
+    text = F.when(is_map, F.to_json(F.struct(F.map_from_entries("d").alias("Monthly Prices")))).when(F.col("commodity").startswith("5"), F.to_json(F.struct(F.col("d").alias("monthly")))).otherwise(F.to_json(F.struct(F.col("d").alias("data"))))
     return payloads.series_rows(both.select("commodity", text.alias("payload")), "payload")
 
 
@@ -150,9 +158,14 @@ G.add(
 )
 G.add_spark(
     "series_catalogue",
-    lambda s, t: indicator_points(t).groupBy("indicator_name").agg(F.count("*").alias("points")).join(F.broadcast(payloads.catalogue(s)), "indicator_name", "right").select("indicator_name", "unit", F.coalesce("points", F.lit(0)).alias("points")),
-    """WITH cat(k, indicator_name, unit) AS (VALUES """ + ", ".join(f"({i}, '{r[0]}', '{r[4]}')" for i, r in enumerate(payloads.INDICATORS)) + """)
-    SELECT indicator_name, unit, count(o_orderkey) AS points FROM cat LEFT JOIN orders ON (o_orderkey // 50) % 8 = k AND o_orderkey % 50 = 0 GROUP BY ALL""",
+    lambda s, t: indicator_points(t).groupBy("function_name").agg(F.count("*").alias("points")).join(F.broadcast(payloads.catalogue(s)), "function_name", "right").select("function_name", "indicator_name", "interval", "maturity", F.coalesce("points", F.lit(0)).alias("points")),
+    f"""WITH {CATALOGUE} SELECT function_name, indicator_name, "interval", maturity, count(o_orderkey) AS points FROM cat LEFT JOIN orders ON o_orderkey % 15 = k GROUP BY ALL""",
+)
+G.add_spark(
+    "commodity_catalogue",
+    lambda s, t: payloads.commodities(s).join(t.orders.groupBy(F.element_at(F.array(*map(F.lit, payloads.COMMODITIES)), (F.col("o_orderkey") % 10 + 1).cast("int")).alias("commodity")).agg(F.count("*").alias("points")), "commodity", "left").select("commodity", "interval", F.coalesce("points", F.lit(0)).alias("points")),
+    """WITH cat(k, commodity) AS (VALUES (0, 'WTI'), (1, 'BRENT'), (2, 'NATURAL_GAS'), (3, 'COPPER'), (4, 'ALUMINUM'), (5, 'WHEAT'), (6, 'CORN'), (7, 'COTTON'), (8, 'SUGAR'), (9, 'ALL_COMMODITIES'))
+    SELECT commodity, 'monthly' AS "interval", count(o_orderkey) AS points FROM cat LEFT JOIN orders ON o_orderkey % 10 = k GROUP BY ALL""",
 )
 G.add(
     "bad_row_skip",
@@ -201,9 +214,9 @@ def rescan_idempotent(spark: SparkSession, t: Tables) -> DataFrame:
 def json_landing(spark: SparkSession, t: Tables) -> DataFrame:
     """Documents written as files, read once with text fields and once as variants."""
     path = scratch(spark, "json")
-    t.overview.select(F.col("symbol").alias("Symbol"), F.col("latest_quarter").alias("LatestQuarter"), F.col("n").cast("string").alias("52WeekHigh")).write.json(path)
-    rows = spark.read.schema("Symbol string, LatestQuarter string, `52WeekHigh` string").json(path)
-    variants = spark.read.option("singleVariantColumn", "v").json(path).select(F.variant_get("v", "$.Symbol", "string").alias("Symbol"), F.try_variant_get("v", "$['52WeekHigh']", "string").alias("high"))
+    t.overview.select(F.col("symbol").alias("Symbol"), F.col("latest_quarter").alias("LatestQuarter"), F.col("n").cast("string").alias("52WeekHigh")).write.json(path)  # a document a line
+    rows = landing.read_json(spark, path, ("Symbol", "LatestQuarter", "52WeekHigh"))
+    variants = landing.read_documents(spark, path).select(F.variant_get("doc", "$.Symbol", "string").alias("Symbol"), F.try_variant_get("doc", "$['52WeekHigh']", "string").alias("high"))
     return rows.join(variants, "Symbol").select(F.col("Symbol").alias("symbol"), scalar.null_tokens(F.col("LatestQuarter")).alias("latest_quarter"), F.col("high").cast("long").alias("week_high"))
 
 
@@ -219,3 +232,41 @@ G.add_spark("glob_and_codec", glob_and_codec, PLAIN + " WHERE seq % 2 = 1")
 G.add_spark("rescan_idempotent", rescan_idempotent, "SELECT symbol, date, close, volume FROM prices")
 G.add_spark("json_landing", json_landing, "SELECT symbol, CASE WHEN latest_quarter <> 'None' THEN latest_quarter END AS latest_quarter, n AS week_high FROM overview")
 G.add_spark("table_exists", table_exists, "SELECT false AS before, true AS after, count(*) AS n_rows FROM prices")
+
+
+def load_statement(source: str):
+    """A query and its SQL: payloads with every field of the statement, one in nine a token for a missing value, through the load plan."""
+    fields = payloads.statement_fields(source)
+    numbers = [c for c in payloads.STATEMENTS[source] if c != "reported_currency"]
+
+    def query(t: Tables) -> DataFrame:
+        value = lambda i: F.when((F.col("n_lines") + i) % 9 == 0, F.lit("None")).otherwise((F.col("n_lines") * 100 + i).cast("string"))
+        one = F.struct(F.date_format("fiscal_date_ending", "yyyy-MM-dd").alias("fiscalDateEnding"), F.lit("USD").alias("reportedCurrency"), *(value(i).alias(fields[c]) for i, c in enumerate(numbers)))
+        of = lambda p: F.collect_list(F.when(F.col("period_type") == p, one)).alias(f"{p}Reports")
+        docs = t.statements.groupBy("symbol").agg(of("annual"), of("quarterly"))
+        rows = payloads.reports(docs.select("symbol", F.to_json(F.struct("annualReports", "quarterlyReports")).alias("payload")), "payload", fields)
+        staged = rows.unionByName(rows.where("period_type = 'annual'"))  # a batch that holds rows twice
+        target = landing.typed(rows.where("period_type = 'annual'"), SPECS[source]).withColumn(numbers[0], F.lit(-1).cast("decimal(20,2)"))
+        return load(target, staged, source)
+
+    columns = ", ".join(f"CASE WHEN (n_lines + {i}) % 9 <> 0 THEN CAST(n_lines * 100 + {i} AS DECIMAL(20,2)) END AS {c}" for i, c in enumerate(numbers))
+    return query, f"SELECT symbol, fiscal_date_ending, period_type, 'USD' AS reported_currency, {columns} FROM statements"
+
+
+for _source in payloads.STATEMENTS:
+    G.add(f"load_{_source.lower()}", *load_statement(_source))
+
+
+def load_transcripts(t: Tables) -> DataFrame:
+    """Segments of calls into a table that holds half of them; a speaker's segments of one call are told apart by their text."""
+    rows = t.transcripts.select("symbol", "quarter", "speaker", F.coalesce("content", F.lit("")).alias("content"), (F.col("turn") / 4).cast("string").alias("sentiment"))
+    target = landing.typed(rows.where("quarter LIKE '2000%'"), SPECS["EARNINGS_CALL_TRANSCRIPT"]).distinct()
+    return load(target, rows, "EARNINGS_CALL_TRANSCRIPT").select("symbol", "quarter", "speaker", "sentiment", F.md5("content").alias("content_md5"))
+
+
+G.add("load_transcripts", load_transcripts, r"""
+    WITH x AS (SELECT symbol, quarter, speaker, CASE WHEN trim(coalesce(content, '')) NOT IN ('NULL', 'null', '', 'None', 'N/A', 'n/a') THEN trim(coalesce(content, '')) END AS content, CAST(turn AS DOUBLE) / 4 AS sentiment FROM transcripts),
+    k AS (SELECT *, left(content, 50) AS l, right(content, 50) AS r FROM x)
+    SELECT DISTINCT symbol, quarter, speaker, sentiment, md5(content) AS content_md5 FROM k WHERE quarter LIKE '2000%' UNION ALL
+    SELECT symbol, quarter, speaker, sentiment, md5(content) FROM (SELECT * FROM k WHERE quarter NOT LIKE '2000%'
+        QUALIFY row_number() OVER (PARTITION BY symbol, quarter, speaker, sentiment, l, r ORDER BY content DESC NULLS LAST) = 1)""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,8 +165,9 @@ def store_roundtrip(spark: SparkSession, t: Tables) -> DataFrame:
     store.upsert("insiders", rows.where("seq % 3 = 0 AND transaction_type = 'A'").withColumn("shares", (F.col("shares") + 1).cast("decimal(18,4)")), ["transaction_type", "symbol", "seq"], "transaction_type", ["symbol", "seq"])
     store.append("insiders", rows.where("seq % 6 = 1"))
     out = store.read("insiders")
-    out.createOrReplaceTempView("insiders_current")
-    return spark.table("insiders_current").select("symbol", "transaction_type", "seq", "shares")
+    view = f"insiders_{uuid.uuid4().hex}"
+    out.createOrReplaceTempView(view)
+    return spark.table(view).select("symbol", "transaction_type", "seq", "shares")
 
 
 G.add_spark("full_refresh", full_refresh, "SELECT symbol, date, close FROM prices WHERE seq % 2 = 1")

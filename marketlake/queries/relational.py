@@ -125,15 +125,15 @@ G.add("fn_math", lambda t: t.run_log.select("run_id", F.abs(F.col("run_id") - 50
 
 
 def incremental_upsert(spark: SparkSession, t: Tables) -> DataFrame:
-    """Two rounds of landed files through the stream, the second with files that repeat and replace rows of the first."""
+    """Two rounds of landed files through the stream, the second with files of another header that repeat and replace rows of the first."""
     path, check = scratch(spark, "landing"), scratch(spark, "stream")
     store = TableStore(spark, scratch(spark, "store"))
     rows = staged(t)
     typed = lambda batch: prepare(batch.withColumn("seq", F.col("seq").cast("long")), "TIME_SERIES_DAILY_ADJUSTED", "seq").select("symbol", "date", "close", "volume", "seq")
-    text = rows.withColumn("seq", F.col("seq").cast("string")).schema
-    for part in ("seq % 2 = 0", "seq % 2 = 1"):
-        rows.where(part).write.mode("append").option("header", True).csv(path)
-        ingest(spark, path, text, store, "prices", ["symbol", "date"], check, typed)
+    other = ["seq", "volume", "symbol", "close", "date"]
+    for part, columns in (("seq % 2 = 0", rows.columns), ("seq % 2 = 1", other)):
+        rows.where(part).select(*columns).write.mode("append").option("header", True).csv(path)
+        ingest(spark, path, rows.columns, store, "prices", ["symbol", "date"], check, typed)
     return store.read("prices").select("symbol", "date", "close", "volume")
 
 

@@ -151,7 +151,8 @@ G.add("dq_ref_integrity", lambda t: Q.orphans(t.prices, t.listing.where("n % 10
 G.add("dq_staging_profile", lambda t: Q.staging_profile(t.overview, ("symbol", "sector", "industry")), "SELECT count(*) AS n_rows, count(DISTINCT symbol) AS distinct_symbol, count(DISTINCT sector) AS distinct_sector, count(DISTINCT industry) AS distinct_industry FROM overview")
 CONTRACT = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType()), T.StructField("close", T.DoubleType()), T.StructField("open", T.DoubleType())])
 G.add("dq_schema", lambda t: Q.schema_issues(t.prices, CONTRACT), """
-    SELECT * FROM (VALUES ('close', 'double', 'decimal(18,4)', 'type'), ('open', 'double', NULL, 'missing'), ('seq', NULL, 'bigint', 'unexpected'), ('volume', NULL, 'decimal(20,0)', 'unexpected')) v("column", expected, found, issue)""")
+    SELECT v.*, CASE "column" WHEN 'close' THEN (SELECT count(close) FROM prices) WHEN 'seq' THEN (SELECT count(seq) FROM prices) WHEN 'volume' THEN (SELECT count(volume) FROM prices) ELSE 0 END AS n_filled
+    FROM (VALUES ('close', 'double', 'decimal(18,4)', 'type'), ('open', 'double', NULL, 'missing'), ('seq', NULL, 'bigint', 'unexpected'), ('volume', NULL, 'decimal(20,0)', 'unexpected')) v("column", expected, found, issue)""")
 G.add("dq_id_conflicts", lambda t: Q.id_conflicts(t.insiders, "symbol", "transaction_type"), """
     SELECT symbol, count(DISTINCT transaction_type) AS n_values, string_agg(DISTINCT transaction_type, ', ' ORDER BY transaction_type) AS "values" FROM insiders GROUP BY symbol HAVING count(DISTINCT transaction_type) > 1""")
 G.add("dq_stale_block", lambda t: Q.stale_block(t.wm, day()), f"""
@@ -181,9 +182,9 @@ G.add("log_cost_rollup", lambda t: L.cost_rollup(t.run_log, t.file_log, t.table_
     SELECT *, round(compute_week * 52 / 12, 4) AS compute_month FROM (SELECT round(coalesce(sum(credits), 0) * 3.0::DOUBLE, 4) AS compute_week FROM run_log WHERE start_ts >= {R} - INTERVAL 7 DAY),
         (SELECT count(*) AS files_week FROM file_log WHERE load_ts >= {R} - INTERVAL 7 DAY), (SELECT round(sum(n_bytes) / {GB}, 6) AS gb FROM table_stats)""")
 G.add("log_layout_advice", lambda t: L.layout_advice(t.table_stats), """
-    SELECT table_name, n_rows, layout_key, CASE WHEN n_rows > 3000000 AND layout_key IS NULL THEN 'ADD_LAYOUT' WHEN n_rows > 1000000 AND layout_key IS NULL THEN 'CONSIDER' WHEN layout_key IS NOT NULL THEN 'HAS_LAYOUT' ELSE 'NONE' END AS advice FROM table_stats""")
+    SELECT table_name, n_rows, layout_key, CASE WHEN layout_key IS NULL AND n_rows > 1000000 THEN 'CONSIDER' WHEN n_rows < 100000 THEN 'TOO_SMALL' ELSE 'CONFIGURED' END AS advice FROM table_stats""")
 G.add("log_slow_advice", lambda t: L.slow_advice(t.run_log), f"""
-    SELECT *, CASE WHEN avg_seconds > 150 THEN 'OPTIMISE' WHEN max_seconds > 380 THEN 'CHECK_OUTLIERS' ELSE 'OK' END AS advice FROM (SELECT kind, round(avg({SEC}), 4) AS avg_seconds, round(max({SEC}), 4) AS max_seconds FROM run_log GROUP BY kind)""")
+    SELECT *, CASE WHEN avg_seconds > 60 THEN 'OPTIMISE' WHEN max_seconds > 300 THEN 'CHECK_OUTLIERS' ELSE 'OK' END AS advice FROM (SELECT kind, round(avg({SEC}), 4) AS avg_seconds, round(max({SEC}), 4) AS max_seconds FROM run_log GROUP BY kind)""")
 G.add("log_hour_cost", lambda t: L.hour_cost(t.run_log), f"""
     SELECT {HOUR} AS hour, count(*) AS runs, round(sum(credits), 4) AS credits, round(sum(credits) * 3.0::DOUBLE, 4) AS cost, round(avg(credits), 4) AS avg_credits, round(sum({SEC}), 3) AS seconds FROM run_log GROUP BY 1""")
 TOP = f"SELECT run_id, user_name, kind, {CLASS} AS class, round(credits, 4) AS credits, round(credits * 3.0::DOUBLE, 4) AS cost, CASE WHEN length(text) > 12 THEN left(text, 12) || '...' ELSE text END AS preview FROM run_log l WHERE l.credits > {{}} ORDER BY l.credits DESC, run_id LIMIT {{}}"
@@ -191,7 +192,7 @@ G.add("log_top_cost", lambda t: L.top_cost(t.run_log), TOP.format(0, 20))
 G.add("log_top_detail", lambda t: L.top_cost(t.run_log, 0.1, 50), TOP.format(0.1, 50))
 G.add("log_by_class", lambda t: L.by_class(t.run_log), f"SELECT {CLASS} AS class, count(*) AS runs, round(sum(credits), 4) AS credits, round(avg(credits), 4) AS avg_credits, round(avg({SEC}), 4) AS avg_seconds FROM run_log GROUP BY 1")
 G.add("log_loads_by_class", lambda t: L.loads_by_class(t.run_log), f"SELECT CAST(start_ts AS DATE) AS day, {CLASS} AS class, count(*) AS runs, round(sum(credits), 4) AS credits, round(avg(credits), 4) AS avg_credits, round(avg({SEC}), 4) AS avg_seconds FROM run_log WHERE {CLASS} IN ('LOAD', 'MERGE', 'INSERT') GROUP BY 1, 2")
-G.add("log_resume", lambda t: L.resumes(t.run_log), "SELECT CAST(start_ts AS DATE) AS day, user_name, count(*) FILTER (kind = 'signup') AS resumes, count(*) FILTER (kind = 'view') AS suspends FROM run_log GROUP BY 1, 2 HAVING resumes + suspends >= 5")
+G.add("log_resume", lambda t: L.resumes(t.run_log, "signup", "view"), "SELECT CAST(start_ts AS DATE) AS day, user_name, count(*) FILTER (kind = 'signup') AS resumes, count(*) FILTER (kind = 'view') AS suspends FROM run_log GROUP BY 1, 2 HAVING resumes + suspends >= 5")
 G.add("log_text_match", lambda t: L.text_match(t.table_stats, t.run_log), """
     SELECT table_name, n_rows, (SELECT count(*) FROM run_log WHERE text LIKE '%' || table_name || '%') AS runs,
         round(coalesce((SELECT sum(credits) FROM run_log WHERE text LIKE '%' || table_name || '%'), 0), 4) AS credits FROM table_stats""")

@@ -2,7 +2,8 @@
 
 CSV columns bind by name. A read over files with different headers would bind all
 of them by one file's header, so files are grouped by header line (a handful of
-variants, read from first lines only) and every group is read with its own.
+variants) and every group is read with its own. Spark has no reader of first lines
+alone, so finding them reads the text once more; rows beyond a file's first split go at once.
 """
 
 from __future__ import annotations
@@ -19,14 +20,17 @@ from marketlake.specs import SourceSpec
 CORRUPT = "_corrupt"
 
 
-def header_variants(spark: SparkSession, path: str, glob: str = "*.csv") -> list[tuple[str, list[str]]]:
+def header_variants(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv") -> list[tuple[str, list[str]]]:
     """(header line, files) of each distinct header. The list of files is metadata, bounded by their number."""
-    first = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path).select(F.col("value"), F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("i"))
+    path = path if isinstance(path, str) else list(path)
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    # A split is read in order, so within one the line counter orders a file's lines.
+    first = lines.where("_metadata.file_block_start = 0").select(F.col("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("i"))
     heads = first.groupBy("file").agg(F.min_by("value", "i").alias("head"))
     return [(r["head"], sorted(r["files"])) for r in heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()]
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], glob: str = "*.csv", rename: Mapping[str, str] | None = None, **options: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], glob: str = "*.csv", rename: Mapping[str, str] | None = None, **options: str) -> DataFrame:
     """All-string columns by name (case doesn't matter), the file's name in ``_file``; rows with too few or too many cells keep what they have, the raw line goes to ``_corrupt``."""
     out = None
     for head, files in header_variants(spark, path, glob):
@@ -48,6 +52,7 @@ def typed(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Missing-value tokens become null, then the specification's decimals and dates are parsed."""
     out = df.withColumns({c: scalar.null_tokens(F.col(c)) for c, t in df.dtypes if t == "string" and not c.startswith("_")})
     casts = {c: scalar.to_decimal(F.col(c), *p) for c, p in spec.decimals.items() if c in out.columns}
+    casts |= {c: scalar.to_double(F.col(c)) for c in spec.doubles if c in out.columns}
     casts |= {c: scalar.to_date(F.col(c)) for c in spec.dates if c in out.columns}
     return out.withColumns(casts) if casts else out
 
@@ -79,13 +84,13 @@ def file_symbol(path: Column) -> Column:
     return F.split_part(F.split_part(path, F.lit("/"), F.lit(-1)), F.lit("."), F.lit(1))
 
 
-def read_json(spark: SparkSession, path: str, fields: Sequence[str], glob: str = "*.json") -> DataFrame:
-    """One row a document, the named top-level fields as text."""
+def read_json(spark: SparkSession, path: str, fields: Sequence[str], glob: str = "*.json", whole: bool = False) -> DataFrame:
+    """One row a document, one document a line or, with ``whole``, a file; the named top-level fields as text."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    return spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", glob).json(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    return spark.read.schema(schema).option("multiLine", whole).option("pathGlobFilter", glob).json(path).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
-def read_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """One row a document as a variant (null if it can't be parsed), with its text and file."""
-    rows = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+def read_documents(spark: SparkSession, path: str, glob: str = "*.json", whole: bool = False) -> DataFrame:
+    """One row a document as a variant (null if it can't be parsed), with its text and file; documents as for ``read_json``."""
+    rows = spark.read.option("wholetext", whole).option("pathGlobFilter", glob).text(path)
     return rows.select(F.try_parse_json("value").alias("doc"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("_file"))

@@ -33,13 +33,41 @@ def reports(df: DataFrame, text: str, fields: Mapping[str, str], key: str = "sym
     return part("annualReports", "annual").unionByName(part("quarterlyReports", "quarterly"))
 
 
-#: Cash-flow fields that carry another name in the payload (fixed values).
-CASH_FLOW_NAMES = {
+#: Columns of the statements after the key (fixed values).
+INCOME_STATEMENT = """reported_currency gross_profit total_revenue cost_of_revenue cost_of_goods_and_services_sold operating_income
+    selling_general_and_administrative research_and_development operating_expenses investment_income_net net_interest_income interest_income
+    interest_expense non_interest_income other_non_operating_income depreciation depreciation_and_amortization income_before_tax
+    income_tax_expense interest_and_debt_expense net_income_from_continuing_operations comprehensive_income_net_of_tax ebit ebitda net_income""".split()
+CASH_FLOW = """reported_currency operating_cashflow payments_for_operating_activities proceeds_from_operating_activities
+    change_in_operating_liabilities change_in_operating_assets depreciation_depletion_and_amortization capital_expenditures
+    change_in_receivables change_in_inventory profit_loss cashflow_from_investment cashflow_from_financing proceeds_from_repurchase_of_equity
+    proceeds_from_sale_of_long_term_investments payments_for_acquisition_of_long_term_investments proceeds_from_issuance_of_long_term_debt
+    proceeds_from_issuance_of_common_stock proceeds_from_repayments_of_short_term_debt payments_for_repurchase_of_common_stock
+    payments_for_repurchase_of_preferred_stock dividend_payout dividend_payout_common_stock dividend_payout_preferred_stock
+    proceeds_from_sale_of_ppe change_in_cash_and_cash_equivalents change_in_exchange_rate net_income""".split()
+BALANCE_SHEET = """reported_currency total_assets total_current_assets cash_and_cash_equivalents_at_carrying_value
+    cash_and_short_term_investments inventory current_net_receivables total_non_current_assets property_plant_equipment
+    accumulated_depreciation_amortization_ppe intangible_assets intangible_assets_excluding_goodwill goodwill investments
+    long_term_investments short_term_investments other_current_assets other_non_current_assets total_liabilities total_current_liabilities
+    current_accounts_payable deferred_revenue current_debt short_term_debt total_non_current_liabilities capital_lease_obligations
+    long_term_debt current_long_term_debt long_term_debt_noncurrent short_long_term_debt_total other_current_liabilities
+    other_non_current_liabilities total_shareholder_equity treasury_stock retained_earnings common_stock common_stock_shares_outstanding""".split()
+STATEMENTS = {"INCOME_STATEMENT": INCOME_STATEMENT, "CASH_FLOW": CASH_FLOW, "BALANCE_SHEET": BALANCE_SHEET}
+
+#: Columns whose name in the payload isn't their own in camel case (fixed values).
+RENAMED = {
+    "cost_of_goods_and_services_sold": "costofGoodsAndServicesSold",
     "proceeds_from_issuance_of_long_term_debt": "proceedsFromIssuanceOfLongTermDebtAndCapitalSecuritiesNet",
-    "payments_for_property_plant_and_equipment": "paymentsForPropertyPlantAndEquipment",
+    "proceeds_from_sale_of_ppe": "proceedsFromSaleOfPropertyPlantAndEquipment",
+    "accumulated_depreciation_amortization_ppe": "accumulatedDepreciationAmortizationPPE",
 }
 
 
+def statement_fields(source: str) -> dict[str, str]:
+    """Every column of a statement but symbol and period, with its name in the payload."""
+    return {c: RENAMED.get(c, camel(c)) for c in ("fiscal_date_ending", *STATEMENTS[source])}
+
+
 def camel(column: str) -> str:
     head, *rest = column.split("_")
     return head + "".join(w.capitalize() for w in rest)
@@ -60,36 +88,54 @@ def insider_rows(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
     return df.select(*(c for c in df.columns if c != text), F.explode(F.try_variant_get(F.try_parse_json(text), "$.data", struct)).alias("r")).select(*(c for c in df.columns if c != text), "r.*")
 
 
-def series_rows(df: DataFrame, text: str, keys: Sequence[str] = ("data", "observations", "series", "values", "prices")) -> DataFrame:
-    """(other columns, date, value) of a series given as a list of {date, value} or as a map of dates, under one of the keys."""
+#: Keys under which a payload holds its series (fixed values).
+SERIES_KEYS = ("data", "monthly", "Monthly Time Series", "Monthly Prices", "Time Series (Monthly)")
+
+
+def series_rows(df: DataFrame, text: str, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """(other columns, date, value) of a series given as a list of {date, value} or as a map of dates, under the first of the keys that is there."""
     v = F.try_parse_json(text)
-    as_list = F.coalesce(*(F.try_variant_get(v, f"$.{k}", "array<struct<date:string,value:string>>") for k in keys))
-    as_map = F.coalesce(*(F.try_variant_get(v, f"$.{k}", "map<string,string>") for k in keys))
+    as_list = F.coalesce(*(F.try_variant_get(v, f"$['{k}']", "array<struct<date:string,value:string>>") for k in keys))
+    as_map = F.coalesce(*(F.try_variant_get(v, f"$['{k}']", "map<string,string>") for k in keys))
     pairs = F.transform(F.map_entries(as_map), lambda e: F.struct(e["key"].alias("date"), e["value"].alias("value")))
     rest = [c for c in df.columns if c != text]
     rows = df.select(*rest, F.explode(F.coalesce(as_list, pairs)).alias("p"))
     return rows.select(*rest, scalar.to_date(F.col("p.date")).alias("date"), scalar.to_double(F.col("p.value")).alias("value")).where("date IS NOT NULL")
 
 
-#: The economic series: name, function, maturity, interval, unit (fixed values).
+#: The economic series: function, interval, name, maturity (fixed values).
 INDICATORS = (
-    ("Real GDP", "REAL_GDP", None, "quarterly", "billions of dollars"),
-    ("Treasury Yield 10Y", "TREASURY_YIELD", "10year", "monthly", "percent"),
-    ("Treasury Yield 2Y", "TREASURY_YIELD", "2year", "monthly", "percent"),
-    ("Federal Funds Rate", "FEDERAL_FUNDS_RATE", None, "monthly", "percent"),
-    ("CPI", "CPI", None, "monthly", "index"),
-    ("Inflation", "INFLATION", None, "annual", "percent"),
-    ("Retail Sales", "RETAIL_SALES", None, "monthly", "millions of dollars"),
-    ("Unemployment", "UNEMPLOYMENT", None, "monthly", "percent"),
+    ("REAL_GDP", "quarterly", "Real GDP", None),
+    ("REAL_GDP_PER_CAPITA", "quarterly", "Real GDP Per Capita", None),
+    ("TREASURY_YIELD_10YEAR", "daily", "Treasury Yield 10 Year", "10year"),
+    ("TREASURY_YIELD_3MONTH", "daily", "Treasury Yield 3 Month", "3month"),
+    ("TREASURY_YIELD_2YEAR", "daily", "Treasury Yield 2 Year", "2year"),
+    ("TREASURY_YIELD_5YEAR", "daily", "Treasury Yield 5 Year", "5year"),
+    ("TREASURY_YIELD_7YEAR", "daily", "Treasury Yield 7 Year", "7year"),
+    ("TREASURY_YIELD_30YEAR", "daily", "Treasury Yield 30 Year", "30year"),
+    ("FEDERAL_FUNDS_RATE", "daily", "Federal Funds Rate", None),
+    ("CPI", "monthly", "Consumer Price Index", None),
+    ("INFLATION", "monthly", "Inflation Rate", None),
+    ("RETAIL_SALES", "monthly", "Retail Sales", None),
+    ("DURABLES", "monthly", "Durable Goods Orders", None),
+    ("UNEMPLOYMENT", "monthly", "Unemployment Rate", None),
+    ("NONFARM_PAYROLL", "monthly", "Total Nonfarm Payroll", None),
 )
 
+#: The commodity series; all are pulled by month (fixed values).
+COMMODITIES = ("WTI", "BRENT", "NATURAL_GAS", "COPPER", "ALUMINUM", "WHEAT", "CORN", "COTTON", "SUGAR", "ALL_COMMODITIES")
+
 
 def catalogue(spark: SparkSession) -> DataFrame:
-    names = ("indicator_name", "function_name", "maturity", "interval", "unit")
+    names = ("function_name", "interval", "indicator_name", "maturity")
     rows = F.array(*(F.struct(*(F.lit(v).cast("string").alias(n) for n, v in zip(names, r, strict=True))) for r in INDICATORS))
     return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def commodities(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, COMMODITIES))).alias("commodity"), F.lit("monthly").alias("interval"))
+
+
 def quarters(df: DataFrame, start: str, end: str) -> DataFrame:
     """A row for each quarter from the one that holds ``start`` to the one that holds ``end``."""
     first, last = F.to_date(F.date_trunc("quarter", start)), F.to_date(F.date_trunc("quarter", end))

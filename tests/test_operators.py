@@ -51,7 +51,7 @@ def test_scalars(spark):
     assert one(spark, S.units_between("hour", at("2024-01-01 00:59:00"), at("2024-01-01 02:00:00"))) == 2
     assert one(spark, S.share(F.lit(1), F.lit(0))) is None
     assert one(spark, S.clean_date(F.lit(" <b>2024-01-02</b> x"))) == D(2024, 1, 2)
-    assert one(spark, S.clean_date(F.lit("soon"))) is None
+    assert one(spark, S.clean_date(F.lit("soon"))) is None and one(spark, S.clean_date(F.lit("x 2024-01-02"))) is None
 
 
 CASES = [(None, "2025-10-12", True), ("2025-06-30", "2025-10-12", False), ("2025-06-30", "2025-11-12", False), ("2025-06-30", "2025-11-13", True), ("2025-06-30", "2025-11-15", True), ("2025-03-31", "2025-10-12", True)]
@@ -167,8 +167,8 @@ def test_payloads(spark):
     assert got == {0: "api_error", 1: "rate_limited", 2: "no_data", 3: "undecodable", 4: "ok", 5: "undecodable"}
     rows = payloads.reports(df, "p", {c: payloads.camel(c) for c in ("fiscal_date_ending", "total_assets")}).collect()
     assert [(r.period_type, r.fiscal_date_ending, r.total_assets) for r in rows] == [("annual", "2024-12-31", "5")]
-    s = spark.createDataFrame([("l", '{"data": [{"date": "2024-01-01", "value": "."}]}'), ("m", '{"values": {"2024-01-01": "2.5"}}'), ("n", "{}")], "c string, p string")
-    assert {r.c: r.value for r in payloads.series_rows(s, "p").collect()} == {"l": None, "m": 2.5}
+    s = spark.createDataFrame([("l", '{"data": [{"date": "2024-01-01", "value": "."}]}'), ("m", '{"Monthly Prices": {"2024-01-01": "2.5"}}'), ("o", '{"monthly": [{"date": "2024-01-01", "value": "7"}]}'), ("p", '{"Time Series (Monthly)": {"2024-01-01": "8"}}'), ("n", "{}")], "c string, p string")
+    assert {r.c: r.value for r in payloads.series_rows(s, "p").collect()} == {"l": None, "m": 2.5, "o": 7.0, "p": 8.0}
     docs = spark.createDataFrame([('{"status": "DELISTED"}',), ('{"delisted": true}',), ('{"status": "x"}',), ("bad",)], "d string")
     assert [r.delisted for r in documents.delisted(docs, "d").collect()] == [True, True, False, False]
 
@@ -189,14 +189,14 @@ def test_store_versions_and_partitions(spark, tmp_path):
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
-    store, schema = TableStore(spark, str(tmp_path / "store")), "symbol string, date string, close string"
+    store, columns = TableStore(spark, str(tmp_path / "store")), ("symbol", "date", "close")
     prepare = lambda b: loads.prepare(b, "TIME_SERIES_DAILY_ADJUSTED", "close")
-    run = lambda: ingest(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, store, "t", ["symbol", "date"], str(tmp_path / "c"), prepare)
+    run = lambda: ingest(spark, str(tmp_path / "in"), columns, store, "t", ["symbol", "date"], str(tmp_path / "c"), prepare)
     write(tmp_path / "in", "1.csv", "symbol,date,close\nA,2024-01-01,1\nA,2024-01-01,2\nB,2024-01-01,-1\n")
     run()
     run()
     assert [(r.symbol, r.close) for r in store.read("t").collect()] == [("A", Decimal("2.0000"))]
-    write(tmp_path / "in", "2.csv", "symbol,date,close\nA,2024-01-01,3\nB,2024-01-02,4\n")
+    write(tmp_path / "in", "2.csv", "Close,extra,symbol,date\n3,x,A,2024-01-01\n4,x,B,2024-01-02\n")
     run()
     assert sorted((r.symbol, r.close) for r in store.read("t").collect()) == [("A", Decimal("3.0000")), ("B", Decimal("4.0000"))]
     assert store.version("t") == 2
@@ -212,6 +212,21 @@ def test_load_then_advance(spark):
     assert (moved["A"].last_fiscal_date, moved["A"].consecutive_failures, moved["C"].last_successful_run, moved["C"].consecutive_failures) == (D(2024, 1, 1), 0, None, 1)
 
 
+def test_load_keeps_a_speakers_segments(spark):
+    rows = [("A", "2024Q1", "CEO", text, "0.5") for text in ("x" * 60, "x" * 49 + "y" * 50, "short", "short")] + [("A", "2024Q1", "CEO", "short", "0.1")]
+    staged = spark.createDataFrame(rows, "symbol string, quarter string, speaker string, content string, sentiment string")
+    target = landing.typed(staged.where("false"), SPECS["EARNINGS_CALL_TRANSCRIPT"])
+    assert loads.load(target, staged, "EARNINGS_CALL_TRANSCRIPT").count() == 4
+
+
+def test_documents_in_files_and_lines(spark, tmp_path):
+    write(tmp_path / "docs", "A.json", '{"Symbol": "A",\n "x": "1"}')
+    write(tmp_path / "lines", "B.json", '{"Symbol": "B"}\n{"Symbol": "C", "x": 2}\n')
+    assert [(r.Symbol, r.x) for r in landing.read_json(spark, str(tmp_path / "docs"), ("Symbol", "x"), whole=True).collect()] == [("A", "1")]
+    assert sorted((r.Symbol, r.x) for r in landing.read_json(spark, str(tmp_path / "lines"), ("Symbol", "x")).collect()) == [("B", None), ("C", "2")]
+    assert landing.read_documents(spark, str(tmp_path / "docs"), whole=True).where("doc IS NOT NULL").count() == 1
+
+
 def test_checks_on_empty_tables(spark):
     empty = spark.createDataFrame([], "symbol string, date date, close double, high double, low double, volume double")
     assert checks.invalid_prices(empty).first()["n_rows"] == 0
