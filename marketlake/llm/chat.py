@@ -2,7 +2,8 @@ r"""Chat formatting: layouts told apart by their schema, one canonical form, one
 
 A layout's fingerprint is a hash of its nested field paths. ``LAYOUTS`` maps each
 fingerprint to a declarative mapping, a DataFrame expression that gives canonical
-turns: ``array<struct<role, text>>``. Records in JSON are told apart one by one, by
+turns: ``array<struct<role, text>>``. Where a table's fields fit no layout exactly, it
+is taken by the fingerprint of the first layout that they hold, turn rows before others. Records in JSON are told apart one by one, by
 the paths they hold.
 
 The template writes a turn as ``### role: text</turn>\n``. Control strings inside
@@ -77,11 +78,13 @@ def canonical(df: DataFrame, key: str) -> DataFrame:
 
     A table of one row a turn has columns turn, role and text. ValueError: no layout fits.
     """
-    mark = fingerprint(paths(df.schema))
+    held = set(paths(df.schema))
+    inside = [fingerprint(ps) for ps in (("role", "text", "turn"), *(ps for _, ps, _ in LAYOUTS)) if held.issuperset(ps)]
+    mark = next(iter(inside), fingerprint(held))
     if mark == TURN_ROWS:
         return df.select(key, F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")))
     if mark not in MAPPINGS:
-        raise ValueError(f"no layout has the fields {sorted(set(paths(df.schema)) & set(KNOWN))}")
+        raise ValueError(f"no layout has the fields {sorted(held & set(KNOWN))}")
     turns = df.select(key, F.posexplode(MAPPINGS[mark][1]()).alias("turn", "_t"))
     return turns.select(key, F.col("turn").cast("long").alias("turn"), "_t.role", "_t.text")
 
@@ -130,6 +133,11 @@ def format_turns(turns: DataFrame, key: str, learn: str = "assistant") -> DataFr
     )
 
 
+def loss_text(formatted: Column, spans: Column) -> Column:
+    """All text under the loss mask, read from the formatted string and unescaped, nothing between."""
+    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, s["length"].cast("int")))), "")
+
+
 def parse_turns(formatted: Column) -> Column:
     """Turns read back from a formatted string, texts unescaped."""
     pieces = F.filter(F.split(formatted, END), lambda p: p != "")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bottom_k, chat, decontaminate, ngram_trie, pieces, quality, sharding, token_counts, url_filter, warc_zip
-from .common import stored, table
+from .common import table
 
 
 def tokenizer(name: str) -> str:
@@ -52,8 +52,7 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.canonical(rows, "conv_id").unionByName(chat.canonical(more, "conv_id"))
     out = chat.format_turns(turns, "conv_id").withColumn("_turns", chat.parse_turns(F.col("formatted")))
     whole = F.array_join(F.transform("_turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("_turns", lambda x: x["role"] == "assistant"), lambda x: x["text"]), "")
-    return out.withColumn("_loss", loss).select(
+    return out.withColumn("_loss", chat.loss_text(F.col("formatted"), F.col("loss_spans"))).select(
         "conv_id",
         F.size("_turns").cast("long").alias("n_turns"),
         F.sha2(F.encode(whole, "UTF-8"), 256).alias("turns_sha256"),
@@ -86,10 +85,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as WARC records into ZIP archives in the shared folder, and read back by range."""
-    marked = warc_zip.mark_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
-    volumes = stored(warc_zip.write_archives(marked), "warc")
-    return warc_zip.read_archives(volumes).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Pages written as WARC records into ZIP archives in the shared folder, and read back by ranges of the files."""
+    marked = warc_zip.mark_revisits(table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    return warc_zip.read_archives(warc_zip.write_archives(marked)).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +105,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents on the Hilbert curve of language, source and length, cut into 40 runs of equal counts."""
+    """Documents on the Hilbert curve of language, source and length, cut into 40 runs of equal counts; equal texts lie together."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), "lang", "source", "n_chars"
+        "doc_id", F.xxhash64(text).alias("text_hash"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), "lang", "source", "n_chars"
     )
-    levels = [sharding.by_name(F.col("lang"), 4), sharding.by_name(F.col("source"), 4), sharding.by_magnitude(F.col("n_chars"), 4)]
-    out = sharding.hilbert_shards(docs, levels, "doc_id", 40)
+    levels = [sharding.by_frequency(docs, "lang", 4), sharding.by_frequency(docs, "source", 4), sharding.by_magnitude(F.col("n_chars"), 4)]
+    out = sharding.hilbert_shards(docs, levels, "doc_id", 40, group=F.col("text_hash"))
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

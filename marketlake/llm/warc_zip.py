@@ -1,29 +1,39 @@
 """WARC records in ZIP archives, and a reader that takes records by range.
 
-Tasks pack their rows into archive volumes of bounded size. A volume is a ZIP file
-with stored (uncompressed) members: ``archive/data.warc.gz``, one gzip member a
-record, and ``indexes/index.cdx``, one line a record. The reader needs only
+Tasks stream their rows into archive volumes of bounded size: ZIP files in the shared
+folder, which must be mounted, with stored (uncompressed) members:
+``archive/data.warc.gz``, one gzip member a record, and ``indexes/index.cdx``, a line a
+record with its offset, length and member. The reader needs only
 ``fetch(offset, length)``: it parses the end record, the ZIP64 locator and
 directory where they are present, and the central directory, finds the stored
-members, and reads each record by its range in the index; nothing is extracted.
+members, and reads each record by its range in the file; nothing is extracted. A task
+that runs again writes files of its own, and only files that a finished task names are read.
 
-Volumes are binary cells of a Parquet table in the shared folder, so a lost
-executor costs a re-run of its tasks, and any store that Spark writes to will do.
+Defined results: a null payload is empty, a null or empty address becomes the record's
+own id; repeated keys are records of their own; other columns don't matter.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import io
+import os
 import struct
+import uuid
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
+from itertools import islice
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mounted, shared_dir, stored
+
 WARC, CDX = "archive/data.warc.gz", "indexes/index.cdx"
 Fetch = Callable[[int, int], bytes]
 
@@ -89,15 +99,19 @@ def member_range(fetch: Fetch, entry: tuple[int, int, int, int]) -> tuple[int, i
 def records(fetch: Fetch, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (lower-case names) and block of every record that the archive's index lists."""
     members = directory(fetch, size)
-    index_at, index_n = member_range(fetch, members[CDX])
-    warc_at, _ = member_range(fetch, members[WARC])
-    for line in fetch(index_at, index_n).decode().splitlines():
-        _, offset, length = line.rsplit(" ", 2)
-        raw = zlib.decompress(fetch(warc_at + int(offset), int(length)), 31)
-        head, _, block = raw.partition(b"\r\n\r\n")
-        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-        fields = {k.lower(): v for k, v in fields.items()}
-        yield fields, block[: int(fields["content-length"])]
+    starts: dict[str, int] = {}
+    for index in sorted(m for m in members if m.startswith("indexes/")):
+        lines = fetch(*member_range(fetch, members[index]))
+        lines = gzip.decompress(lines) if index.endswith(".gz") else lines
+        for line in lines.decode().splitlines():
+            _, offset, length, name = line.rsplit(" ", 3)
+            if name not in starts:
+                starts[name] = member_range(fetch, members[name])[0]
+            raw = zlib.decompress(fetch(starts[name] + int(offset), int(length)), 31)
+            head, _, block = raw.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            fields = {k.lower(): v for k, v in fields.items()}
+            yield fields, block[: int(fields["content-length"])]
 
 
 def record(fields: dict[str, str], block: bytes) -> bytes:
@@ -108,29 +122,52 @@ def record(fields: dict[str, str], block: bytes) -> bytes:
     return packed.compress(raw) + packed.flush()
 
 
-def archive(packed: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
-    """A volume of (index key, gzip member) pairs. zip64: with ZIP64 fields, whatever the size."""
-    lines, offset = [], 0
-    for key, raw in packed:
-        lines.append(f"{key} {offset} {len(raw)}\n")
-        offset += len(raw)
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-        for name, parts in ((WARC, [raw for _, raw in packed]), (CDX, [x.encode() for x in lines])):
-            with z.open(zipfile.ZipInfo(name), "w", force_zip64=zip64) as member:
-                for part in parts:
-                    member.write(part)
-    return out.getvalue()
+class Volume:
+    """A ZIP file in the making. zip64: with ZIP64 fields, whatever the size."""
+
+    def __init__(self, out: BinaryIO, zip64: bool = True):
+        self.zip, self.zip64, self.lines, self.size = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED), zip64, [], 0
+        self.member = self.zip.open(zipfile.ZipInfo(WARC), "w", force_zip64=zip64)
+
+    def add(self, key: str, raw: bytes) -> None:
+        """Appends a record, one gzip member, with its line of the index."""
+        self.lines.append(f"{key} {self.size} {len(raw)} {WARC}\n")
+        self.size += len(raw)
+        self.member.write(raw)
+
+    def close(self) -> None:
+        self.member.close()
+        with self.zip.open(zipfile.ZipInfo(CDX), "w", force_zip64=self.zip64) as index:
+            index.write("".join(self.lines).encode())
+        self.zip.close()
 
 
-def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 100) -> DataFrame:
-    """Of ``pages``: ``_key``, ``_payload`` (null: empty), ``_bytes``, ``_digest`` and ``_refers`` (null: a response).
+def web_record(key: int | None, url: str | None, payload: str, digest: str, refers: int | None, date: str) -> bytes:
+    """A response with the payload in an HTTP message, or a revisit with the message's head alone."""
+    name = f"urn:page:{'' if key is None else key}"
+    raw = payload.encode()
+    fields = {
+        "WARC-Type": "response" if refers is None else "revisit",
+        "WARC-Record-ID": f"<{name}>",
+        "WARC-Date": date,
+        "WARC-Target-URI": quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url else name,
+        "Content-Type": "application/http; msgtype=response",
+        "WARC-Payload-Digest": f"sha256:{digest}",
+    }
+    if refers is not None:
+        fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{refers}>"}
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(raw)}\r\n\r\n".encode()
+    return record(fields, head + (raw if refers is None else b""))
+
+
+def mark_revisits(pages: DataFrame, key: str, payload: str, url: str, least: int = 100) -> DataFrame:
+    """Of ``pages``: ``_key``, ``_url``, ``_payload`` (null: empty), ``_bytes``, ``_digest`` and ``_refers`` (null: a response).
 
     Of equal payloads of ``least`` bytes or more, the one with the smallest key is the
     response. The smallest key of each repeated digest is found with partial sums
     before the shuffle; only digests that occur twice are joined back.
     """
-    rows = pages.select(F.col(key).alias("_key"), F.coalesce(F.col(payload), F.lit("")).alias("_payload")).withColumns(
+    rows = pages.select(F.col(key).alias("_key"), F.col(url).cast("string").alias("_url"), F.coalesce(F.col(payload), F.lit("")).alias("_payload")).withColumns(
         {"_bytes": F.octet_length("_payload").cast("long"), "_digest": F.sha2(F.encode("_payload", "UTF-8"), 256)}
     )
     first = rows.where(F.col("_bytes") >= least).groupBy("_digest").agg(F.min("_key").alias("_first"), F.count("*").alias("_n"))
@@ -139,42 +176,43 @@ def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 100) ->
     return out.withColumn("_refers", F.when(again, F.col("_first"))).drop("_first")
 
 
-def write_archives(marked: DataFrame, volume_bytes: int = 4 << 20, zip64: bool = True) -> DataFrame:
-    """Rows of ``mark_revisits`` packed into volumes of about ``volume_bytes``: one row a volume, column ``volume``."""
+def write_archives(marked: DataFrame, volume_bytes: int = 16 << 20, zip64: bool = True) -> DataFrame:
+    """Rows of ``mark_revisits`` written to volumes of about ``volume_bytes``: one row a volume, its ``path`` and ``size``."""
+    folder = mounted(shared_dir(marked.sparkSession, "warc"))
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")  # one for all, however often a task runs
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, volume = None, None
+
+        def done() -> pa.RecordBatch:
+            volume.close()
+            out.close()
+            return pa.RecordBatch.from_pydict({"path": pa.array([out.name]), "size": pa.array([os.path.getsize(out.name)], pa.int64())})
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
         for batch in batches:
-            for key, payload, n, digest, refers in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                name = "" if key is None else str(key)
-                fields = {
-                    "WARC-Type": "response" if refers is None else "revisit",
-                    "WARC-Record-ID": f"<urn:page:{name}>",
-                    "WARC-Payload-Digest": f"sha256:{digest}",
-                    "X-Payload-Length": str(n),
-                }
-                if refers is not None:
-                    fields["WARC-Refers-To"] = f"<urn:page:{refers}>"
-                raw = record(fields, payload.encode() if refers is None else b"")
-                held.append((name, raw))
-                size += len(raw)
-                if size >= volume_bytes:
-                    yield pa.RecordBatch.from_pydict({"volume": pa.array([archive(held, zip64)], pa.binary())})
-                    held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_pydict({"volume": pa.array([archive(held, zip64)], pa.binary())})
-
-    return marked.select("_key", "_payload", "_bytes", "_digest", "_refers").mapInArrow(pack, "volume binary")
-
-
-def read_archives(volumes: DataFrame) -> DataFrame:
-    """Records of the volumes: key, type, refers_to, payload (null for revisits), payload_bytes and payload_digest.
+            for key, url, payload, digest, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if volume is None:
+                    out = open(f"{folder}/{uuid.uuid4().hex}.zip", "wb")  # noqa: SIM115
+                    volume = Volume(out, zip64)
+                volume.add("" if key is None else str(key), web_record(key, url, payload, digest, refers, date))
+                if volume.size >= volume_bytes:
+                    yield done()
+                    volume = None
+        if volume is not None:
+            yield done()
+
+    written = marked.select("_key", "_url", "_payload", "_digest", "_refers").mapInArrow(write, "path string, size long")
+    return stored(written, "volumes")
+
+
+def read_archives(volumes: DataFrame, volumes_a_task: int = 4) -> DataFrame:
+    """Records of the volumes (path, size): key, url, type, refers_to, payload (null for revisits), payload_bytes and payload_digest.
 
     A response's length and digest are taken from its payload as read; one that
     disagrees with its header raises ValueError. A revisit's come from its header.
     """
     schema = pa.schema([
-        ("key", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+        ("key", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
         ("payload", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
     ])
 
@@ -182,20 +220,28 @@ def read_archives(volumes: DataFrame) -> DataFrame:
         digits = (x or "").removeprefix("<urn:page:").removesuffix(">")
         return int(digits) if digits else None
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def one(fields: dict[str, str], block: bytes) -> tuple:
+        head, _, payload = block.partition(b"\r\n\r\n")
+        digest, n = fields["warc-payload-digest"].removeprefix("sha256:"), int(head.rpartition(b": ")[2])
+        whole = fields["warc-type"] == "response"
+        if whole and (len(payload), hashlib.sha256(payload).hexdigest()) != (n, digest):
+            raise ValueError(f"record {fields['warc-record-id']} is damaged")
+        refers = number(fields.get("warc-refers-to"))
+        return number(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-type"], refers, payload.decode() if whole else None, n, digest
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for cell in batch.column(0):
-                view = cell.as_buffer()
-                fetch = lambda at, n, v=memoryview(view): bytes(v[at : at + n])
-                out: list[tuple] = []
-                for fields, block in records(fetch, view.size):
-                    digest, n = fields["warc-payload-digest"].removeprefix("sha256:"), int(fields["x-payload-length"])
-                    whole = fields["warc-type"] == "response"
-                    if whole and (len(block), hashlib.sha256(block).hexdigest()) != (n, digest):
-                        raise ValueError(f"record {fields['warc-record-id']} is damaged")
-                    refers = number(fields.get("warc-refers-to"))
-                    out.append((number(fields["warc-record-id"]), fields["warc-type"], refers, block.decode() if whole else None, n, digest))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
-
-    kinds = "key long, record_type string, refers_to long, payload string, payload_bytes long, payload_digest string"
-    return volumes.mapInArrow(unpack, kinds)
+            for path, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with open(path, "rb") as f:
+
+                    def fetch(at: int, n: int, f: BinaryIO = f) -> bytes:
+                        f.seek(at)
+                        return f.read(n)
+
+                    found = (one(*r) for r in records(fetch, size))
+                    while rows := list(islice(found, 500)):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+    kinds = "key long, url string, record_type string, refers_to long, payload string, payload_bytes long, payload_digest string"
+    tasks = max(1, -(-volumes.count() // volumes_a_task))
+    return volumes.select("path", "size").repartition(tasks).mapInArrow(read, kinds)

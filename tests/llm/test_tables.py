@@ -1,6 +1,8 @@
 """Chat, quality, URLs, near-dedup, WARC, decontamination and sharding on small tables."""
 
+import gzip
 import hashlib
+import io
 import itertools
 import random
 import zipfile
@@ -25,7 +27,11 @@ def test_chat_layouts_and_round_trip(spark):
     assert [(t.role, t.text) for t in got[1].t] == [("user" if i % 2 == 0 else "assistant", t or "") for i, t in enumerate(odd)]
     assert [(t.role, t.text) for t in got[2].t] == [("", "q"), ("a:b", "w")]
     f = got[1].formatted
-    assert [len(f[s.start : s.start + s.length]) for s in got[1].loss_spans] and "".join(f[s.start : s.start + s.length] for s in got[1].loss_spans).count("###") == 0
+    assert "".join(f[s.start : s.start + s.length] for s in got[1].loss_spans).count("###") == 0
+    masked = chat.format_turns(chat.canonical(rows, "id"), "id").select("id", chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("x")).collect()
+    assert {r.id: r.x for r in masked} == {1: "".join(t or "" for t in odd[1::2]), 2: ""}
+    clash = rows.withColumns({"prompt": F.lit("p"), "instruction": F.lit(1), "messages": F.lit(None).cast("array<struct<role:string,content:string>>")})
+    assert sorted(map(str, chat.canonical(clash, "id").collect())) == sorted(map(str, chat.canonical(rows, "id").collect()))
     layouts = {
         "messages array<struct<role:string,content:string>>": ([("user", "q"), ("assistant", "a")],),
         "conversations array<struct<`from`:string,value:string>>": ([("user", "q"), ("assistant", "a")],),
@@ -252,10 +258,38 @@ def test_stars(spark):
     assert got == {k: v for k, v in root.items() if k != v}
 
 
+def archived(rows, zip64=True):
+    out = io.BytesIO()
+    volume = warc_zip.Volume(out, zip64)
+    for row in rows:
+        volume.add(*row)
+    volume.close()
+    return out.getvalue()
+
+
+def test_package_of_several_members():
+    """Two archives and a packed index, as other tools write them."""
+    parts = {f"archive/{n}.warc.gz": [warc_zip.web_record(i, f"http://{n}/ {i}", "x" * i, hashlib.sha256(b"x" * i).hexdigest(), None, "2024-01-01T00:00:00Z") for i in range(3)] for n in "ab"}
+    out, lines = io.BytesIO(), ""
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, raws in parts.items():
+            z.writestr(name, b"".join(raws))
+            lines += "".join(f"k {sum(map(len, raws[:i]))} {len(r)} {name}\n" for i, r in enumerate(raws))
+        z.writestr("indexes/index.cdx.gz", gzip.compress(lines.encode()))
+    raw = out.getvalue()
+    got = [(f, b) for f, b in warc_zip.records(lambda at, n: raw[at : at + n], len(raw))]
+    assert [f["warc-target-uri"] for f, _ in got] == [f"http://{n}/%20{i}" for n in "ab" for i in range(3)]
+    need = {"warc-type", "warc-record-id", "warc-date", "content-length", "warc-target-uri", "content-type", "warc-payload-digest"}
+    assert all(need <= set(f) and b.startswith(b"HTTP/1.1 200 OK\r\n") for f, b in got)
+    revisit = archived([("1", warc_zip.web_record(1, None, "y" * 9, "d", 0, "2024-01-01T00:00:00Z"))])
+    fields, block = next(warc_zip.records(lambda at, n: revisit[at : at + n], len(revisit)))
+    assert fields["warc-profile"].endswith("identical-payload-digest") and fields["warc-refers-to"] == "<urn:page:0>" and block.endswith(b"Content-Length: 9\r\n\r\n")
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_zip_reader(tmp_path, zip64):
     rows = [(str(i), warc_zip.record({"WARC-Type": "response", "WARC-Record-ID": f"<urn:page:{i}>"}, b"x" * i)) for i in range(50)]
-    raw = warc_zip.archive(rows, zip64)
+    raw = archived(rows, zip64)
     fetch = lambda at, n: raw[at : at + n]
     assert [b for _, b in warc_zip.records(fetch, len(raw))] == [b"x" * i for i in range(50)]
     with pytest.raises(ValueError):
@@ -276,13 +310,14 @@ def test_zip_reader(tmp_path, zip64):
 
 def test_archives(spark):
     same, rows = "y" * 120, [(3, "y" * 120), (1, "y" * 120), (2, "short"), (4, "short"), (5, None), (6, ""), (None, "y" * 120), (1, "y" * 120), (7, "ß" * 50), (8, "z" * 300_000)]
-    df = spark.createDataFrame(rows, "page_id long, html string").withColumn("_digest", F.lit(1))
-    back = warc_zip.read_archives(warc_zip.write_archives(warc_zip.mark_revisits(df, "page_id", "html"), volume_bytes=500)).collect()
+    df = spark.createDataFrame(rows, "page_id long, html string").withColumns({"_digest": F.lit(1), "url": F.concat(F.lit("http://x/"), "page_id")})
+    back = warc_zip.read_archives(warc_zip.write_archives(warc_zip.mark_revisits(df, "page_id", "html", "url"), volume_bytes=500)).collect()
     assert sorted((str(r.key), r.record_type, str(r.refers_to)) for r in back) == sorted(
         [("3", "revisit", "1"), ("1", "response", "None"), ("1", "response", "None"), ("2", "response", "None"), ("4", "response", "None"), ("5", "response", "None"), ("6", "response", "None"), ("None", "revisit", "1"), ("7", "response", "None"), ("8", "response", "None")]
     )
     assert {r.payload_digest for r in back if r.key in (1, 3)} == {hashlib.sha256(same.encode()).hexdigest()} and {r.payload_bytes for r in back if r.key == 7} == {100}
-    empty = warc_zip.mark_revisits(df.where("false"), "page_id", "html")
+    assert {r.key: r.url for r in back} == {k: "urn:page:" if k is None else f"http://x/{k}" for k in (1, 2, 3, 4, 5, 6, 7, 8, None)}
+    empty = warc_zip.mark_revisits(df.where("false"), "page_id", "html", "url")
     assert warc_zip.read_archives(warc_zip.write_archives(empty)).count() == 0
 
 
@@ -326,7 +361,7 @@ def test_hilbert_curve_is_continuous(dims, bits):
 
 
 def test_sharding(spark, edge, none):
-    levels = lambda: [sharding.by_name(F.col("lang"), 4), sharding.by_name(F.col("source"), 4), sharding.by_magnitude(F.col("n_chars"), 4)]
+    levels = lambda: [sharding.by_frequency(edge, "lang", 4), sharding.by_frequency(edge, "source", 4), sharding.by_magnitude(F.col("n_chars"), 4)]
     big = edge.unionByName(edge.select(*edge.columns)).unionByName(edge.withColumn("doc_id", F.col("doc_id") + 1000)).withColumn("w", F.coalesce(F.octet_length("text"), F.lit(0)) % 50 + 16)
     for law in ("rows", "bytes"):
         rows = sharding.hilbert_shards(big, levels(), "doc_id", 7, law, F.col("w"), salts=3).collect()
@@ -335,8 +370,28 @@ def test_sharding(spark, edge, none):
         assert all(sorted(r.slot for r in x) == list(range(len(x))) for x in by.values())
         sums = [len(x) if law == "rows" else sum(r.w for r in x) for x in by.values()]
         assert max(sums) - min(sums) <= (1 if law == "rows" else 2 * 66)
+    clash = edge.withColumns({"_total": F.lit(1), "_start": F.lit(2), "cell": F.lit(3), "row": F.lit(4), "total": F.lit(5), "Law": F.lit(6)})
+    out = sharding.hilbert_shards(clash, levels(), "doc_id", 3)
+    assert {(r._total, r._start, r.cell, r.row, r.total, r.law) for r in out.collect()} == {(1, 2, 3, 4, 5, "rows")}
     assert sharding.hilbert_shards(none, levels(), "doc_id", 40).count() == 0
     few = sharding.hilbert_shards(edge, levels(), "doc_id", 40).collect()
     assert max(Counter(r.shard for r in few).values()) == 1
     with pytest.raises(ValueError):
         sharding.hilbert_shards(edge, levels(), "doc_id", 4, "other")
+
+
+def test_shards_keep_groups_and_prune(spark, tmp_path):
+    r = random.Random(3)
+    rows = [(i, r.choice(["en", "en", "en", "de", "fr", "it"]), r.choice("abcdefgh"), r.randint(1, 9000), f"t{r.randint(0, 900)}" if i % 3 else f"own{i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_chars long, text string")
+    levels = [sharding.by_frequency(df, "lang", 4), sharding.by_frequency(df, "source", 4), sharding.by_magnitude(F.col("n_chars"), 4)]
+    out = sharding.hilbert_shards(df, levels, "doc_id", 16, group=F.col("text"))
+    parted = out.groupBy("text").agg(F.countDistinct("shard").alias("n")).where("n > 1").count()
+    assert parted <= 15  # a group for each cut
+    sharding.write_shards(out, str(tmp_path / "s"), 16)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == 4000 and back.select("shard").distinct().count() == 16
+    alone = sharding.hilbert_shards(df, levels, "doc_id", 16)
+    for c, v in (("lang", "de"), ("source", "c")):
+        stats = alone.groupBy("shard").agg(F.min(c).alias("lo"), F.max(c).alias("hi")).where((F.col("lo") <= v) & (F.col("hi") >= v))
+        assert stats.count() < 16
