@@ -1,22 +1,27 @@
-r"""Language-model scoring with an Elias-Fano n-gram trie.
-
-Words (and an end of text) are 64-bit hashes. Spark counts words and pairs of
-neighbouring words of the training rows: tasks add up their own rows first and send
-packed blobs, one row for each shard; a task for each shard merges its blobs and
-writes a file of the trie into the shared folder, where every scoring task maps it
-into memory. The model is not broadcast and grows with the corpus; a shard's share
-does not if ``spark.sql.shuffle.partitions`` grows with it.
-
-Level 1 (by hash of the word): word hashes and running counts, both monotone, both
-in Elias-Fano form, so counts are exact. Level 2 (by hash of the first word, in
-``SPREAD`` parts by the second, which splits frequent first words): first words,
-pointers to their successors, and the successors: (rank of the first word, 32 bits
-of the second's hash), relative to their context and monotone over all contexts.
-With each successor goes its smoothed probability, quantised to 0.001 of log10.
-
-Probabilities: P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) and
-P(w | u) = (c(u, w) + mu P(w)) / (c(u) + mu), a proper distribution over the
-vocabulary and one unknown word. Pairs not stored get the second term.
+r"""Language-model scoring with an Elias-Fano n-gram trie of order 3.
+
+Words (and an end of text) are 64-bit hashes. Spark counts the words of the training
+rows, then their trigrams: tasks add up their own rows first and send packed blobs,
+one row for each part; a task for each part merges its blobs and writes a file of
+the trie into the shared folder, where every scoring task maps it into memory. The
+model is not broadcast and grows with the corpus; a part's share does not if
+``spark.sql.shuffle.partitions`` grows with it.
+
+Level 1 (parts by hash of the word): word hashes and running counts, both monotone,
+both in Elias-Fano form, so counts are exact. A word's number is its place in this
+level; the levels above hold these numbers. Levels 2 and 3 (parts by a mix of first
+and second word, so a frequent word is spread over all parts): first words, pointers
+to their successors, successors as (rank of the first, number of the second),
+pointers from each pair to its third words, and these as (place of the pair, number
+of the third). Successors are relative to their context and monotone over all
+contexts; a search looks between the context's pointers.
+
+Probabilities, each a proper distribution over the vocabulary and one unknown word:
+P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
+P(w | v) = (c(vw) + mu2 P(w)) / (c(v) + mu2),
+P(w | u, v) = (c(uvw) + mu3 P(w | v)) / (c(uv) + mu3).
+Stored with a successor, quantised to 0.001 of log10: its own part c / (c + mu) of
+that sum, and with a pair also the weight mu3 / (c(uv) + mu3) of the shorter context.
 
 Defined results: null or empty texts are one end token; a null id counts as an
 empty string in the split into training and held-out rows; repeated rows count as
@@ -32,14 +37,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mounted, shared_dir, slices, word_codes
 from .elias_fano import U64, Monotone, load, save
 
-SPREAD, TAIL, STEP = 4, 32, 1000
-KEPT_WORDS, KEPT_PAIRS, SLICE = 400_000, 3_000_000, 8 << 20
+PARTS, STEP = 4, 1000  # files of upper levels for each shuffle partition; steps of a quantised log10
+KEPT_WORDS, KEPT_GRAMS, SLICE, PACKED_BITS = 400_000, 3_000_000, 8 << 20, 63
 
 
 def held_out(key: int | None) -> bool:
@@ -81,34 +87,56 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
         yield batch.column("text").filter(pa.array([not held_out(k) for k in batch.column("doc_id").to_pylist()], pa.bool_()))
 
 
-def _blobs(where: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    """One row for each target: its part of the columns, one after the other."""
+def _packed(where: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each target: its part of the columns, one after the other, compressed."""
     order = np.argsort(where, kind="stable")
     where, columns = where[order], [c[order] for c in columns]
     targets, at = np.unique(where, return_index=True)
     cut = [*at.tolist(), len(where)]
-    blob = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    return pa.RecordBatch.from_pydict({"shard": pa.array(targets, pa.int32()), "n": pa.array(np.diff(cut), pa.int64()), "blob": pa.array(blob, pa.binary())})
+    pack = zstandard.ZstdCompressor(1).compress
+    blob = [pack(b"".join(c[a:b].tobytes() for c in columns)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return pa.RecordBatch.from_pydict({"part": pa.array(targets, pa.int32()), "n": pa.array(np.diff(cut), pa.int64()), "blob": pa.array(blob, pa.binary())})
 
 
-def _merged(pdf: pd.DataFrame, keys: int) -> list[np.ndarray]:
-    """Rows of the blobs: ``keys`` hashes and a count, counts of equal hashes added up, sorted."""
-    parts = [[np.frombuffer(b[8 * i * n : 8 * (i + 1) * n], U64) for i in range(keys)] + [np.frombuffer(b[8 * keys * n :], np.uint32)] for n, b in zip(pdf["n"].tolist(), pdf["blob"].tolist(), strict=True)]
-    cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
-    order = np.lexsort(cols[keys - 1 :: -1]) if keys > 1 else np.argsort(cols[0])
-    cols = [c[order] for c in cols]
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:keys]])
-    at = np.flatnonzero(new)
-    return [*(c[at] for c in cols[:keys]), np.add.reduceat(cols[keys].astype(np.int64), at)]
+def _unpacked(pdf: pd.DataFrame, kinds: list[type]) -> list[np.ndarray]:
+    """The columns of all blobs of a part."""
+    open_, parts = zstandard.ZstdDecompressor().decompress, []
+    for n, blob in zip(pdf["n"].tolist(), pdf["blob"].tolist(), strict=True):
+        raw, at, own = open_(blob), 0, []
+        for kind in kinds:
+            own.append(np.frombuffer(raw, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+        parts.append(own)
+    return [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
+
+
+def _codes(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.round(-STEP * np.log10(p)), 0, 65535).astype(np.uint16)
+
+
+def part_of(first: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
+    """The part that holds a pair and its third words."""
+    mixed = (first.astype(U64) << U64(32) ^ second.astype(U64)) * U64(0x9E3779B97F4A7C15)
+    return ((mixed >> U64(33)) % U64(parts)).astype(np.int64)
 
 
 class Trie:
     """The files of a trie, mapped into memory when they are first needed."""
 
-    def __init__(self, folder: str, shards: int):
-        self.folder, self.shards, self.open = folder, shards, {}
-        self.total = self.distinct = 0
+    def __init__(self, folder: str, shards: int, sizes: dict[int, int], total: int, distinct: int):
+        self.folder, self.shards, self.parts, self.open = folder, shards, shards * PARTS, {}
+        self.total, self.distinct = total, distinct
+        self.offsets = np.concatenate([[0], np.cumsum([sizes.get(i, 0) for i in range(shards)])]).astype(np.int64)
+        #: Numbers of words end before this one, which stands for "nothing follows".
+        self.nothing = int(self.offsets[-1])
+        self.bits = U64((self.nothing + 1).bit_length())
 
     def _file(self, name: str, sequences: tuple[str, ...]) -> dict | None:
         if name not in self.open:
@@ -117,57 +145,79 @@ class Trie:
                 self.open[name] = None
             else:
                 arrays, facts = load(path)
-                self.open[name] = {s: Monotone(arrays, s, int(facts[f"{s}.size"]), int(facts[f"{s}.bits"])) for s in sequences} | {"codes": arrays.get("codes")}
+                self.open[name] = arrays | {s: Monotone(arrays, s, int(facts[f"{s}.size"]), int(facts[f"{s}.bits"])) for s in sequences}
         return self.open[name]
 
+    def _words(self, shard: int) -> dict | None:
+        return self._file(f"words-{shard}", ("word", "upto"))
+
+    def _grams(self, part: int) -> dict | None:
+        return self._file(f"grams-{part}", ("first", "seconds", "second", "thirds", "third"))
+
     def _each(self, where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(where, kind="stable")
         targets, at = np.unique(where[order], return_index=True)
-        for t, rows in zip(targets.tolist(), np.split(order, at[1:]), strict=True):
-            yield t, rows
+        for t, start, end in zip(targets.tolist(), at.tolist(), [*at[1:].tolist(), len(order)], strict=len(order) > 0):
+            yield t, order[start:end]
 
-    def counts(self, words: np.ndarray) -> np.ndarray:
-        """Training count of each word."""
-        out = np.zeros(len(words), np.int64)
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Number of each word hash, -1 for words not met in training."""
+        out = np.full(len(words), -1, np.int64)
         for shard, rows in self._each((words % U64(self.shards)).astype(np.int64)):
-            if level := self._file(f"words-{shard}", ("word", "upto")):
+            if level := self._words(shard):
                 i = level["word"].find(words[rows])
-                hit, i = rows[i >= 0], i[i >= 0]
-                out[hit] = (level["upto"].get(i + 1) - level["upto"].get(i)).astype(np.int64)
+                out[rows] = np.where(i >= 0, i + self.offsets[shard], -1)
+        return out
+
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        """Training count of each number, 0 for -1."""
+        out = np.zeros(len(numbers), np.int64)
+        shards = np.where(numbers >= 0, np.searchsorted(self.offsets, numbers, "right") - 1, -1)
+        for shard, rows in self._each(shards):
+            if shard >= 0 and (level := self._words(shard)):
+                i = numbers[rows] - self.offsets[shard]
+                out[rows] = (level["upto"].get(i + 1) - level["upto"].get(i)).astype(np.int64)
         return out
 
     def p(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
 
-    def pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """log10 P(second | first) of stored pairs, else NaN. Equal first words lie together."""
-        out = np.full(len(first), np.nan)
-        for part, rows in self._each(target(first, second, self.shards)):
-            level = self._file(f"pairs-{part}", ("first", "pointer", "successor"))
-            if not level:
+    def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of sorted pairs of numbers: part, place there (-1: not stored), own part of P(second | first), weight of the shorter context below."""
+        part, place = part_of(first, second, self.parts), np.full(len(first), -1, np.int64)
+        share, weight = np.zeros(len(first)), np.ones(len(first))
+        for t, rows in self._each(part):
+            if not (level := self._grams(t)):
                 continue
             own = first[rows]
-            new = np.ones(len(own), bool)
-            new[1:] = own[1:] != own[:-1]
-            rank = level["first"].find(own[new])[np.cumsum(new) - 1]
+            at = _starts(own)
+            rank = level["first"].find(own[at])
             known = rank >= 0
-            rank, each = np.unique(rank[known], return_inverse=True)
-            start, end = (level["pointer"].get(rank + k).astype(np.int64)[each] for k in (0, 1))
-            i = level["successor"].find((rank[each].astype(U64) << U64(TAIL)) | tail(second[rows[known]]), start, end)
-            out[rows[known][i >= 0]] = level["codes"][i[i >= 0]] / -STEP
+            sizes = np.diff(np.append(at, len(rows)))
+            ranges = [np.repeat(level["seconds"].get(np.maximum(rank, 0) + k).astype(np.int64), sizes) for k in (0, 1)]
+            each, rank = np.repeat(known, sizes), np.repeat(rank, sizes)
+            i = level["second"].find((rank[each].astype(U64) << self.bits) | second[rows[each]].astype(U64), ranges[0][each], ranges[1][each])
+            rows, i = rows[each][i >= 0], i[i >= 0]
+            place[rows] = i
+            share[rows], weight[rows] = 10.0 ** (level["share2"][i] / -STEP), 10.0 ** (level["weight"][i] / -STEP)
+        return part, place, share, weight
+
+    def thirds(self, part: np.ndarray, place: np.ndarray, third: np.ndarray) -> np.ndarray:
+        """Own part of P(third | pair) of stored pairs, 0 where the third word didn't follow."""
+        out = np.zeros(len(part))
+        order = np.argsort(part.astype(U64) << U64(40) | place.astype(U64))
+        for t, rows in self._each(part[order]):
+            rows, level = order[rows], self._grams(t)
+            at = _starts(place[rows])
+            sizes, contexts = np.diff(np.append(at, len(rows))), place[rows[at]]
+            first, last = (np.repeat(level["thirds"].get(contexts + k).astype(np.int64), sizes) for k in (0, 1))
+            i = level["third"].find((place[rows].astype(U64) << self.bits) | third[rows].astype(U64), first, last)
+            rows, i = rows[i >= 0], i[i >= 0]
+            out[rows] = 10.0 ** (level["share3"][i] / -STEP)
         return out
 
 
-def target(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
-    return ((first % U64(shards)) * U64(SPREAD) + (second >> U64(62)) % U64(SPREAD)).astype(np.int64)
-
-
-def tail(words: np.ndarray) -> np.ndarray:
-    """The bits of a second word that a successor keeps."""
-    return (words >> U64(20)) & U64((1 << TAIL) - 1)
-
-
-def build(docs: DataFrame, mu: float = 150.0) -> Callable[[], Trie]:
+def build(docs: DataFrame, mu2: float = 150.0, mu3: float = 5.0) -> Callable[[], Trie]:
     """Counts the training rows of ``docs`` (doc_id, text) and writes the trie; returns what opens it in a task."""
     spark = docs.sparkSession
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -180,7 +230,7 @@ def build(docs: DataFrame, mu: float = 150.0) -> Callable[[], Trie]:
         def flush() -> pa.RecordBatch:
             used = np.flatnonzero(counts)
             hashes = words.hashes[used]
-            return _blobs((hashes % U64(shards)).astype(np.int64), [hashes, counts[used].astype(np.uint32)])
+            return _packed((hashes % U64(shards)).astype(np.int64), [hashes, counts[used]])
 
         for texts in _training(batches):
             ids, _ = words.numbers(texts)
@@ -195,95 +245,143 @@ def build(docs: DataFrame, mu: float = 150.0) -> Callable[[], Trie]:
             yield flush()
 
     def write_words(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes, counts = _merged(pdf, 1)
+        hashes, counts = _unpacked(pdf, [U64, np.int64])
+        order = np.argsort(hashes)
+        at = _starts(hashes[order])
+        hashes, counts = hashes[order][at], np.add.reduceat(counts[order], at)
         upto = np.concatenate([[0], np.cumsum(counts)])
         a, x = Monotone.encode(hashes, 1 << 64, "word")
         b, y = Monotone.encode(upto, int(upto[-1]) + 1, "upto")
         save(f"{folder}/words-{key[0]}", a | b, **x, **y)
         real = ~np.isin(hashes, Words().hashes[:1])  # the start is a context, not a token
-        return pd.DataFrame({"total": [int(counts[real].sum())], "distinct": [int(real.sum())]})
+        return pd.DataFrame({"part": [key[0]], "size": [len(hashes)], "total": [int(counts[real].sum())], "distinct": [int(real.sum())]})
 
-    blobs = docs.mapInArrow(count_words, "shard int, n long, blob binary")
-    sums = blobs.groupBy("shard").applyInPandas(write_words, "total long, distinct long")
-    total, distinct = (int(x or 0) for x in sums.agg(F.sum("total"), F.sum("distinct")).first())
+    blobs = docs.mapInArrow(count_words, "part int, n long, blob binary")
+    # One row for each shuffle partition.
+    sums = blobs.groupBy("part").applyInPandas(write_words, "part int, size long, total long, distinct long").collect()
+    sizes, total, distinct = {r["part"]: r["size"] for r in sums}, sum(r["total"] for r in sums), sum(r["distinct"] for r in sums)
+    if sum(sizes.values()) >= 1 << 31:
+        raise ValueError("more than 2^31 distinct words: two numbers of words share 64 bits")
 
     def opened() -> Trie:
-        trie = Trie(folder, shards)
-        trie.total, trie.distinct = total, distinct
-        return trie
+        return Trie(folder, shards, sizes, total, distinct)
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size = Words(), [], 0
+    def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, words, held, size = opened(), Words(), [], 0
 
         def flush() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(held), return_counts=True)
-            first, second = words.hashes[pairs >> 32], words.hashes[pairs & 0xFFFFFFFF]
-            return _blobs(target(first, second, shards), [first, second, counts.astype(np.uint32)])
+            numbers = np.append(trie.numbers(words.hashes), trie.nothing)
+            u, v, w = (np.concatenate(x) for x in zip(*held, strict=True))
+            w = np.where(w < 0, len(numbers) - 1, w)
+            bits = len(numbers).bit_length()
+            if 3 * bits <= PACKED_BITS:
+                grams, counts = np.unique((u << (2 * bits)) | (v << bits) | w, return_counts=True)
+                u, v, w = grams >> (2 * bits), (grams >> bits) & ((1 << bits) - 1), grams & ((1 << bits) - 1)
+            else:
+                pairs, pair = np.unique((u << 32) | v, return_inverse=True)
+                grams, counts = np.unique((pair << 32) | w, return_counts=True)
+                u, v, w = pairs[grams >> 32] >> 32, pairs[grams >> 32] & 0xFFFFFFFF, grams & 0xFFFFFFFF
+            u, v, w = (numbers[x].astype(np.uint32) for x in (u, v, w))
+            return _packed(part_of(u, v, trie.parts), [u, v, w, counts.astype(np.uint32)])
 
         for texts in _training(batches):
             ids, sizes = words.numbers(texts)
             if len(ids):
-                pairs = (ids[:-1] << 32) | ids[1:]
+                # Every neighbouring pair of a text once, with its third word; -1 after the end.
                 inside = np.ones(len(ids), bool)
-                inside[np.cumsum(sizes) - 1] = False  # an end and the next start are no pair
-                held.append(pairs[inside[:-1]])
-                size += len(pairs)
-            if size > KEPT_PAIRS or len(words.ids) > KEPT_WORDS:
+                inside[np.cumsum(sizes) - 1] = False
+                at = np.flatnonzero(inside)
+                after = np.append(ids, -1)[at + 2]
+                held.append((ids[at], ids[at + 1], np.where(ids[at + 1] == 1, -1, after)))
+                size += len(at)
+            if size > KEPT_GRAMS or len(words.ids) > KEPT_WORDS:
                 yield flush()
                 words.clear()
                 held, size = [], 0
         if held:
             yield flush()
 
-    def write_pairs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def write_grams(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         trie = opened()
-        first, second, counts = _merged(pdf, 2)
-        new = np.ones(len(first), bool)
-        new[1:] = first[1:] != first[:-1]
-        at, rank = np.flatnonzero(new), np.cumsum(new) - 1
-        firsts = first[at]
-        p = (counts + mu * trie.p(trie.counts(second))) / (trie.counts(firsts)[rank] + mu)
-        codes = np.clip(np.round(-STEP * np.log10(p)), 0, 65535).astype(np.uint16)
-        value = (rank.astype(U64) << U64(TAIL)) | tail(second)
-        order = np.argsort(value, kind="stable")
-        a, x = Monotone.encode(firsts, 1 << 64, "first")
-        b, y = Monotone.encode(np.append(at, len(first)), len(first) + 1, "pointer")
-        c, z = Monotone.encode(value[order], len(at) << TAIL, "successor")
-        save(f"{folder}/pairs-{key[0]}", a | b | c | {"codes": codes[order]}, **x, **y, **z)
-        return pd.DataFrame({"pairs": [len(first)]})
+        u, v, w, counts = _unpacked(pdf, [np.uint32] * 4)
+        pair = (u.astype(U64) << U64(32)) | v
+        order = np.lexsort((w, pair))
+        pair, w = pair[order], w[order]
+        at = _starts(pair, w)
+        pair, w, counts = pair[at], w[at], np.add.reduceat(counts[order].astype(np.int64), at)
+        at = _starts(pair)
+        pairs, c_pair, place = pair[at], np.add.reduceat(counts, at), np.repeat(np.arange(len(at)), np.diff(np.append(at, len(pair))))
+        first, second = (pairs >> U64(32)).astype(np.int64), pairs & U64(0xFFFFFFFF)
+        at = _starts(first)
+        firsts, rank = first[at], np.repeat(np.arange(len(at)), np.diff(np.append(at, len(first))))
+        real = w != trie.nothing
+        w, counts, place = w[real].astype(U64), counts[real], place[real]
+        thirds = np.searchsorted(place, np.arange(len(pairs) + 1))
+        levels = {
+            "first": (firsts, trie.nothing + 1), "seconds": (np.append(at, len(pairs)), len(pairs) + 1),
+            "second": ((rank.astype(U64) << trie.bits) | second, len(firsts) << int(trie.bits)),
+            "thirds": (thirds, len(w) + 1), "third": ((place.astype(U64) << trie.bits) | w, len(pairs) << int(trie.bits)),
+        }
+        arrays = {
+            "share2": _codes(c_pair / (trie.counts(firsts)[rank] + mu2)),
+            "weight": _codes(mu3 / (c_pair + mu3)), "share3": _codes(counts / (c_pair[place] + mu3)),
+        }
+        facts: dict[str, int] = {}
+        for name, (values, universe) in levels.items():
+            more, about = Monotone.encode(values, universe, name)
+            arrays |= more
+            facts |= about
+        save(f"{folder}/grams-{key[0]}", arrays, **facts)
+        return pd.DataFrame({"pairs": [len(pairs)], "grams": [len(w)]})
 
     if total:
-        blobs = docs.mapInArrow(count_pairs, "shard int, n long, blob binary")
-        blobs.groupBy("shard").applyInPandas(write_pairs, "pairs long").agg(F.sum("pairs")).collect()
+        blobs = docs.mapInArrow(count_grams, "part int, n long, blob binary")
+        blobs.groupBy("part").applyInPandas(write_grams, "pairs long, grams long").agg(F.sum("pairs"), F.sum("grams")).collect()
     return opened
 
 
-def score(docs: DataFrame, opened: Callable[[], Trie], mu: float = 150.0) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (words alone) and score (log10 probability of the text)."""
+def score(docs: DataFrame, opened: Callable[[], Trie], mu2: float = 150.0, mu3: float = 5.0) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (words alone) and score (log10 probability of the text).
+
+    ``mu2`` is that of ``build``; the weight of ``mu3`` is stored with each pair.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, words = opened(), Words()
-        counts = trie.counts(words.hashes)
+        numbers = trie.numbers(words.hashes)
+        counts = trie.counts(numbers)
         for batch in slices(batches, "text", SLICE):
             if len(words.ids) > KEPT_WORDS:
                 words.clear()
-                counts = trie.counts(words.hashes)
+                numbers, counts = numbers[:2], counts[:2]
             keys = batch.column("doc_id").to_pylist()
             ids, sizes = words.numbers(batch.column("text"))
-            counts = np.concatenate([counts, trie.counts(words.hashes[len(counts) :])])
-            log_p = np.log10(trie.p(counts)) if trie.total else np.zeros(len(counts))
+            more = trie.numbers(words.hashes[len(numbers) :])
+            numbers, counts = np.concatenate([numbers, more]), np.concatenate([counts, trie.counts(more)])
+            p = trie.p(counts) if trie.total else np.ones(len(counts))
             starts = np.cumsum(sizes) - sizes
             token = np.ones(len(ids), bool)
             token[starts] = False
-            base, known = np.where(token, log_p[ids], 0.0), token & (counts[ids] > 0)
+            base, known = np.where(token, np.log10(p)[ids], 0.0), token & (counts[ids] > 0)
             value = base
             if trie.total:
-                before = np.concatenate([[0], ids[:-1]])
-                pairs, back = np.unique((before << 32) | ids, return_inverse=True)
-                u, w = pairs >> 32, pairs & 0xFFFFFFFF
-                logs = trie.pairs(words.hashes[u], words.hashes[w])
-                unseen = log_p[w] + np.log10(mu / (counts[u] + mu))
-                value = np.where(token, np.where(np.isnan(logs), unseen, logs)[back], 0.0)
+                at = np.flatnonzero(token)
+                u, v = numbers[ids[at - 1]], numbers[ids[at]]
+                pairs, back = np.unique(((u + 1) << 32) | (v + 1), return_inverse=True)
+                u, v = (pairs >> 32) - 1, (pairs & 0xFFFFFFFF) - 1
+                stored = np.flatnonzero((u >= 0) & (v >= 0))
+                part, place, share, weight = np.zeros(len(pairs), np.int64), np.full(len(pairs), -1), np.zeros(len(pairs)), np.ones(len(pairs))
+                part[stored], place[stored], share[stored], weight[stored] = trie.pairs(u[stored], v[stored])
+                p2 = share[back] + mu2 / (counts[ids[at - 1]] + mu2) * p[ids[at]]
+                # A token's context is the pair before it; the first token of a text has none.
+                context = np.append(0, back[:-1])
+                deep = np.flatnonzero(token[at - 1] & (place[context] >= 0))
+                p3, third = p2, numbers[ids[at[deep]]]
+                p3[deep] *= weight[context[deep]]
+                deep, third = deep[third >= 0], third[third >= 0]
+                p3[deep] += trie.thirds(part[context[deep]], place[context[deep]], third)
+                value = np.zeros(len(ids))
+                value[at] = np.log10(p3)
             add = lambda x: np.add.reduceat(x, starts)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "held_out": pa.array([held_out(k) for k in keys]), "n_tokens": pa.array(sizes - 1),

@@ -106,16 +106,19 @@ def test_monotone(universe, n, tmp_path):
     assert np.array_equal(found >= 0, np.isin(q, v)) and np.array_equal(v[found[found >= 0]], q[found >= 0])
 
 
-def brute(rows, mu):
+def brute(rows, mu2, mu3):
     tok = lambda t: [b"\t", *(t or "").encode().lower().split(), b"\n"]
     train = [tok(t) for k, t in rows if zlib.crc32(b"" if k is None else str(k).encode()) % 5 != 1]
-    uni, pair, first = Counter(x for w in train for x in w[1:]), Counter(p for w in train for p in zip(w, w[1:], strict=False)), Counter(x for w in train for x in w[:-1])
+    uni, first = Counter(x for w in train for x in w[1:]), Counter(x for w in train for x in w[:-1])
+    grams = Counter(g for n in (2, 3) for w in train for g in zip(*(w[i:] for i in range(n)), strict=False))
     n, v = sum(uni.values()), len(uni)
     p = lambda x: (uni[x] + 0.5) / (n + 0.5 * (v + 1))
+    p2 = lambda a, x: (grams[a, x] + mu2 * p(x)) / (first[a] + mu2)
+    p3 = lambda a, b, x: (grams[a, b, x] + mu3 * p2(b, x)) / (grams[a, b] + mu3)
     for k, t in rows:
         w = tok(t)
-        steps = list(zip(w, w[1:], strict=False))
-        yield k, len(w) - 1, sum(uni[x] > 0 for x in w[1:]), n, sum(math.log10(p(x)) for x in w[1:]), sum(math.log10((pair[s] + mu * p(s[1])) / (first[s[0]] + mu)) for s in steps)
+        value = math.log10(p2(*w[:2])) + sum(math.log10(p3(*g)) for g in zip(w, w[1:], w[2:], strict=False))
+        yield k, len(w) - 1, sum(uni[x] > 0 for x in w[1:]), n, sum(math.log10(p(x)) for x in w[1:]), value
 
 
 @pytest.mark.parametrize("forget", [False, True])
@@ -124,13 +127,14 @@ def test_scores(spark, sf_dir, edge, forget, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     if forget:
         monkeypatch.setattr(ngram_trie, "KEPT_WORDS", 100)
-        monkeypatch.setattr(ngram_trie, "KEPT_PAIRS", 100)
+        monkeypatch.setattr(ngram_trie, "KEPT_GRAMS", 100)
+        monkeypatch.setattr(ngram_trie, "PACKED_BITS", 0)
         monkeypatch.setattr(ngram_trie, "SLICE", 2000)
-    got = sorted((tuple(r) for r in ngram_trie.score(df, ngram_trie.build(df, 20.0), 20.0).collect()), key=str)
-    want = sorted(brute(rows, 20.0), key=str)
+    got = sorted((tuple(r) for r in ngram_trie.score(df, ngram_trie.build(df, 20.0, 3.0), 20.0).collect()), key=str)
+    want = sorted(brute(rows, 20.0, 3.0), key=str)
     for g, w in zip(sorted(got, key=lambda x: (str(x[0]), x[2])), sorted(want, key=lambda x: (str(x[0]), x[1])), strict=True):
         assert (g[0], *g[2:5]) == w[:4]
-        assert g[5] == pytest.approx(w[4], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[5], abs=6e-4 * w[1])
+        assert g[5] == pytest.approx(w[4], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[5], abs=1.2e-3 * w[1])
 
 
 def test_scores_without_training(spark, none):
