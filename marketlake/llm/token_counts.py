@@ -25,7 +25,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -144,11 +144,16 @@ class Transducer:
         return move
 
     def count(self, raw: bytes) -> int:
-        if len(self.states) > KEPT_STATES:
-            self.clear()
         state, total, moves = self.start, 0, self.moves
         for byte in raw:
-            state, added = moves[state].get(byte) or self.step(state, byte)
+            move = moves[state].get(byte)
+            if move is None:
+                if len(self.states) > KEPT_STATES:
+                    key = self.states[state]
+                    self.clear()
+                    state, moves = self.state(key), self.moves
+                move = self.step(state, byte)
+            state, added = move
             total += added
         return total
 
@@ -243,7 +248,11 @@ class Counter:
         return x[0], x[1] + glue + y[1], y[2]
 
     def blocks(self, text: str, size: int = BLOCK) -> int:
-        whole = reduce(self.compose, (self.block(text[i : i + size]) for i in range(0, len(text), size)), "")
+        """Tokens of a text by the maps of its blocks, neighbours composed first: the scan's upward half."""
+        maps = [self.block(text[i : i + size]) for i in range(0, len(text), size)]
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        whole = maps[0] if maps else ""
         return self.plain(whole) if isinstance(whole, str) else self.plain(whole[0]) + whole[1] + self.plain(whole[2])
 
 

@@ -84,6 +84,14 @@ def test_token_maps_compose_in_any_order():
         assert c.compose(c.compose(x, y), z) == c.compose(x, c.compose(y, z))
 
 
+def test_compiled_states_are_bounded_within_a_text(monkeypatch):
+    c, raw = token_counts.Counter(tokenizer("byte_bpe_50k.json")), "".join(random.Random(5).choices("abcdefghij", k=3000)).encode()
+    want = c.bpe.count(raw)
+    monkeypatch.setattr(token_counts, "KEPT_STATES", 20)
+    c.bpe.clear()
+    assert c.bpe.count(raw) == want and len(c.bpe.states) <= 22
+
+
 def test_token_frames(spark, edge, none):
     out = token_counts.count_tokens(edge, tokenizer("byte_bpe_50k.json"), limit=2)
     assert out.columns[-3:] == ["n_bytes", "n_tokens", "over_limit"] and "text" not in out.columns
