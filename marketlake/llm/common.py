@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,8 +30,9 @@ def lower_ascii(c: Column) -> Column:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder that the driver and all executors see, under ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Where it is unset (tests, a laptop) a
-    temporary folder takes its place for the rest of the application.
+    The setting is read from the session. Where it is unset and Spark runs in one
+    process (tests, a laptop) a temporary folder takes its place for the rest of the
+    application; on a cluster that raises ValueError.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -38,6 +40,8 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if current:
             root = current
         else:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
             root = tempfile.mkdtemp(prefix="spark-checkpoint-")
             spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -107,6 +107,63 @@ def test_pipeline(spark, sf_dir, docs):
     assert 0 < len(ids) < len(docs) and len(set(ids)) == len(ids) and out.where("NOT round_trip").count() == 0
 
 
+def plain_heads(rows):
+    """Ids that stay of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    words = {k: WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for k, t in rows}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for k, w in words.items() if w}
+    holders, root = {}, {k: k for k in words}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k in sorted(sets):
+        shared = Counter(j for s in sets[k] for j in holders.get(s, ()))
+        for j, n in shared.items():
+            if 100 * n >= 80 * (len(sets[k]) + len(sets[j]) - n):
+                a, b = sorted((find(j), find(k)))
+                root[b] = a
+        for s in sets[k]:
+            holders.setdefault(s, []).append(k)
+    return {k for k in words if find(k) == k}
+
+
+def plain_clean(rows, items):
+    """Ids of documents with fewer than one word in twenty inside a window of thirteen words of an item."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    windows = {}
+    for w in map(cut, items):
+        for i in range(max(1, len(w) - 12)) if w else ():
+            windows.setdefault(len(w[i : i + 13]), set()).add(tuple(w[i : i + 13]))
+    for k, t in rows:
+        w = cut(t)
+        hit = {i + j for n, known in windows.items() for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in known for j in range(n)}
+        if not hit or 20 * len(hit) < len(w):
+            yield k
+
+
+def test_pipeline_stages_equal_plain_versions(spark, sf_dir, docs):
+    import corpus_pipeline as P
+    import sentencepiece
+
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(d.doc_id, d.text) for d in docs]
+    got = [r.doc_id for r in P.quality_stage(spark, table, sf_dir).collect()]
+    assert sorted(got) == sorted(k for k, r in run(spark, sf_dir, "op5_quality_rules").items() if r.kept)
+    # Near copies and benchmark passages are looked for in all documents, so that there are some to find.
+    got = [r.doc_id for r in P.dedup_stage(spark, table, sf_dir).collect()]
+    assert sorted(got) == sorted(plain_heads(rows)) and len(got) < len(rows)
+    got = [r.doc_id for r in P.decontaminate_stage(spark, table, sf_dir).collect()]
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").collect()]
+    assert sorted(got) == sorted(plain_clean(rows, items)) and len(got) < len(rows)
+    sp = sentencepiece.SentencePieceProcessor(model_file=Q.tokenizer("piece_bpe_32k.model"))
+    texts = dict(rows)
+    for r in P.encode_stage(spark, table, sf_dir).collect():
+        ids = sp.encode(texts[r.doc_id] or "") + [sp.eos_id()]
+        assert (r.ids, r.n_tokens, r.round_trip) == (ids, len(ids), sp.decode(ids) == (texts[r.doc_id] or ""))
+
+
 def test_pipeline_stages_take_anything(spark, sf_dir, edge, none):
     import corpus_pipeline
 
