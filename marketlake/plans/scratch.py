@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,14 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``; where that is unset (tests, a laptop), under a temporary one."""
+    """A new folder under ``spark.checkpoint.dir``.
+
+    Where that is unset and Spark runs in one process (tests, a laptop) it is under a temporary one; on a cluster that raises ValueError.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         root = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
