@@ -66,7 +66,7 @@ STAGES = [
     ("sentencepiece", encode_stage),
 ]
 
-#: The perplexity model and the tokenizer are beyond SQL; tests hold each stage against a plain version.
+#: The perplexity model and the tokenizer are beyond SQL; tests hold the last three stages against plain versions, the first against op5.
 ORACLE_SQL = None
 
 
