@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and their SQL, where SQL can express the result."""
+"""The queries op1 to op13 and their SQL, where SQL can express the result."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottom_k, chat, decontaminate, ngram_trie, pieces, quality, sharding, token_counts, url_filter, warc_zip
+from . import bottom_k, chat, decontaminate, ngram_trie, periodic, pieces, quality, sharding, token_counts, url_filter, warc_zip
 from .common import table
 
 
@@ -115,8 +115,42 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def with_planted_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where a tenth of the texts, by crc32 of the id, goes on periodically from some word on."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n = F.floor(h / 10), F.size("_words")
+    a = F.pmod(F.col("_g"), F.col("_n"))
+    p = F.lit(1) + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8))
+    tail = F.transform(F.sequence("_a", F.col("_n") - 1), lambda i: F.get("_words", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int")))
+    steps = {"_words": F.when(h % 10 == 0, words), "_g": g, "_n": n.cast("long"), "_a": F.when(F.col("_n") > 0, a), "_p": p}
+    for name, column in steps.items():
+        docs = docs.withColumn(name, column)
+    whole = F.array_join(F.concat(F.slice("_words", 1, F.col("_a").cast("int")), tail), " ")
+    return docs.select("doc_id", F.when(F.col("_n") > 0, whole).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left without their repetitions, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    out = periodic.periodic_runs(with_planted_tails(docs)).withColumn("_best", best)
+    length, start, period = (F.col("_best").getField(c) for c in ("length", "col2", "col3"))
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-start).alias("start"),
+        length.alias("length"),
+        (-period).alias("period"),
+        F.expr("1000 * _best.length div -_best.col3").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(lines, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding, op13_periodic_runs)}
 
 
 ORACLES: dict[str, str] = {
@@ -189,6 +223,48 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
         FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id""",
+    "op13_periodic_runs": r"""
+        WITH hashed AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                CAST(doc_id AS VARCHAR) AS digits
+            FROM documents),
+        crc AS (
+            SELECT doc_id, ws, len(ws) AS n, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(digits, ''), lambda c: unicode(c)::BIGINT)),
+                lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]),
+                    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS state
+            FROM hashed),
+        h AS (SELECT doc_id, ws, n, xor(state, 4294967295) AS h, xor(state, 4294967295) // 10 AS g FROM crc),
+        pl AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM h),
+        pp AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM pl),
+        d AS (
+            SELECT doc_id, n, CASE WHEN a IS NULL THEN ws
+                ELSE list_concat(ws[1:a], list_transform(range(a, n), lambda i: ws[1 + a + (i - a) % p])) END AS ws
+            FROM pp),
+        tok AS (SELECT doc_id, n, i - 1 AS i, array_to_string(ws[i:i + 3], chr(10)) AS gram
+            FROM d, LATERAL (SELECT unnest(range(1, n - 2)) AS i)),
+        eq AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q FROM tok x JOIN tok y
+            ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM eq),
+        st AS (
+            SELECT doc_id, min(i) AS start, max(i) - min(i) + 4 + q AS length, q AS period FROM isl GROUP BY doc_id, q, island),
+        long AS (SELECT * FROM st WHERE length >= greatest(6, 4 * period)),
+        run AS (
+            SELECT doc_id, start, length, min(period) AS period FROM long GROUP BY doc_id, start, length),
+        agg AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+                arg_min([start, length, period], [-length, start, period]) AS best
+            FROM run GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+        lost AS (SELECT doc_id, list(i) AS away FROM gone GROUP BY doc_id),
+        rest AS (
+            SELECT d.doc_id, array_to_string(CASE WHEN away IS NULL THEN ws
+                ELSE list_transform(list_filter(range(1, n + 1), lambda i: NOT list_contains(away, i - 1)), lambda i: ws[i]) END, ' ') AS collapsed
+            FROM d LEFT JOIN lost ON d.doc_id = lost.doc_id)
+        SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best[1] AS BIGINT) AS start, CAST(best[2] AS BIGINT) AS length,
+            CAST(best[3] AS BIGINT) AS period, CAST(1000 * best[2] // best[3] AS BIGINT) AS exponent_milli,
+            sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM d LEFT JOIN agg ON d.doc_id = agg.doc_id LEFT JOIN rest ON d.doc_id = rest.doc_id""",
 }
 
 
