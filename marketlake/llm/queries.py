@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottom_k, chat, decontaminate, ngram_trie, periodic, pieces, quality, sharding, token_counts, url_filter, warc_zip
+from . import bottom_k, chat, decontaminate, main_text, ngram_trie, periodic, pieces, quality, sharding, token_counts, url_filter, warc_zip
 from .common import table
 
 
@@ -115,6 +115,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract_main_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def with_planted_tails(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) where a tenth of the texts, by crc32 of the id, goes on periodically from some word on."""
     h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
@@ -150,7 +156,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding, op12_html_extraction, op13_periodic_runs)}
 
 
 ORACLES: dict[str, str] = {
@@ -223,6 +229,17 @@ ORACLES: dict[str, str] = {
             CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
         FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN it ON d.doc_id = it.doc_id""",
+    "op12_html_extraction": r"""
+        WITH a AS (
+            SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+        b AS (
+            SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:p|h1)>'), lambda x:
+                trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(x, '</?(?:b|br)>', ' ', 'g'), '&amp\b;?', '&amp;', 'g'),
+                    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks
+            FROM a)
+        SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text,
+            CAST(length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10))) AS BIGINT) AS n_chars
+        FROM b""",
     "op13_periodic_runs": r"""
         WITH hashed AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
