@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottom_k, chat, decontaminate, main_text, ngram_trie, periodic, pieces, quality, sharding, token_counts, url_filter, warc_zip
+from . import bottom_k, chat, decontaminate, main_text, ngram_trie, periodic, pieces, quality, sharding, token_counts, url_filter, warc_zip, whitening
 from .common import table
 
 
@@ -115,6 +116,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as integers, whitened on the eight components of largest variance."""
+    rows = whitening.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    x = rows.select("vec_id", F.transform("embedding", lambda c: F.floor(1024 * c.cast("double")) + 100000).alias("x"))
+    basis = whitening.fit(x, "x")
+    n = basis.n if basis else 0
+    basis = basis and replace(basis, components=basis.components[:8], variances=basis.variances[:8])
+    error = whitening.identity_error(x, "x", basis) if basis else 0.0
+    sums = F.array(*(F.lit(s).cast("long") for s in basis.sums)) if basis else F.array().cast("array<long>")
+    shares = F.array(*(F.lit(float(e / basis.total)) for e in basis.variances)) if n and basis.total else F.array().cast("array<double>")
+    square = F.aggregate(F.zip_with("x", sums, lambda c, s: (n * c - s).cast("decimal(19,0)")), F.lit(0).cast("decimal(38,0)"), lambda a, c: (a + c * c).cast("decimal(38,0)"))
+    out = whitening.whiten(x, basis, "x").select("vec_id", square.cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return out.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -156,7 +180,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding, op12_html_extraction, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_lm_scoring, op3_token_counts, op4_chat_formatting, op5_quality_rules, op6_url_filters, op7_minhash_near_dedup, op8_warc, op9_decontamination, op10_sharding, op11_embedding_whitening, op12_html_extraction, op13_periodic_runs)}
 
 
 ORACLES: dict[str, str] = {
