@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.scalar import clean_date, days_between, null_tokens, share, to_decimal, to_double
+from marketlake.operators.merge import matches
+from marketlake.operators.ranks import listed
 
 
 def missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,7 +111,16 @@ def orphans(rows: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def staging_profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return rows.agg(F.count("*").alias("n_rows"), *(F.countDistinct(c).alias(f"distinct_{c}") for c in columns))
+    """Rows and distinct values of each column, in one row.
+
+    Several distinct counts in one aggregate would copy each row once a column. Instead a
+    row becomes pairs of a column's number and its value's hashes (two of 64 bits), which
+    tasks make unique before they are dealt out by the pair.
+    """
+    pair = lambda i, c: F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("i"), F.xxhash64(F.col(c)).alias("h"), F.xxhash64(F.lit("more"), F.col(c)).alias("g")))
+    pairs = rows.select(F.explode(F.array_compact(F.array(*(pair(i, c) for i, c in enumerate(columns))))).alias("p")).select("p.*").distinct()
+    counts = pairs.groupBy("i").count().agg(*(F.coalesce(F.max(F.when(F.col("i") == i, F.col("count"))), F.lit(0)).alias(f"distinct_{c}") for i, c in enumerate(columns)))
+    return rows.agg(F.count("*").alias("n_rows")).crossJoin(counts)  # a row each
 
 
 def schema_issues(df: DataFrame, contract: T.StructType) -> DataFrame:
@@ -121,10 +132,11 @@ def schema_issues(df: DataFrame, contract: T.StructType) -> DataFrame:
     return issues.join(filled, "column", "left").withColumn("n_filled", F.coalesce("n_filled", F.lit(0).cast("long")))
 
 
-def id_conflicts(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys with more than one value, the values as text."""
-    values = F.array_sort(F.collect_set(F.col(value).cast("string")))
-    return rows.groupBy(key).agg(F.countDistinct(value).alias("n_values"), F.array_join(values, ", ").alias("values")).where("n_values > 1")
+def id_conflicts(rows: DataFrame, key: str, value: str, most: int = 100) -> DataFrame:
+    """Keys with more than one value, and the first ``most`` values as text."""
+    values = rows.select(key, F.col(value).cast("string").alias(value)).where(F.col(value).isNotNull()).distinct()
+    many = values.groupBy(key).agg(F.count("*").alias("n_values")).where("n_values > 1").alias("t")
+    return many.join(listed(values, (key,), value, most, ", ", "values").alias("s"), matches((key,))).select("t.*", "values")
 
 
 def stale_block(wm: DataFrame, as_of: Column, days: int = 135) -> DataFrame:

@@ -59,9 +59,18 @@ def processing_summary(wm: DataFrame) -> DataFrame:
     )
 
 
+#: What the dashboard needs of prices, as measures that summaries by partition can keep.
+PRICE_MEASURES = {"price_rows": ("count", "*"), "price_first": ("min", "date"), "price_last": ("max", "date")}
+
+
 def dashboard(listing: DataFrame, prices: DataFrame, statements: DataFrame, wm: DataFrame, as_of: Column) -> DataFrame:
     """One row a symbol of the listing. Facts are aggregated before the joins; three sources of the control table are one aggregate."""
     p = prices.groupBy("symbol").agg(F.count("*").alias("price_rows"), F.min("date").alias("price_first"), F.max("date").alias("price_last"))
+    return dashboard_of(listing, p, statements, wm, as_of)
+
+
+def dashboard_of(listing: DataFrame, p: DataFrame, statements: DataFrame, wm: DataFrame, as_of: Column) -> DataFrame:
+    """The dashboard from prices that are summed up by symbol (``PRICE_MEASURES``)."""
     s = statements.groupBy("symbol").agg(F.count("*").alias("statement_rows"), F.max("fiscal_date_ending").alias("statement_last"))
     of = lambda source, c: F.max(F.when(F.col("table_name") == source, F.col(c)))
     w = wm.groupBy("symbol").agg(

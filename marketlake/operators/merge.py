@@ -27,6 +27,17 @@ def latest(df: DataFrame, keys: Sequence[str], *recency: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col("_row")[c].alias(c) for c in rest)).select(*df.columns)
 
 
+def first(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
+    """The row of each key that comes first in ascending order, nulls last.
+
+    Tasks keep one row a key before the shuffle, so a key that a third of all rows share (a null one, say) costs no more than any other.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    place = F.struct(*(x for c in order for x in (F.col(c).isNull(), F.col(c))))
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"))
+    return best.select(*keys, *(F.col("_row")[c].alias(c) for c in rest)).select(*df.columns)
+
+
 def matches(keys: Sequence[str], null_safe: bool = True) -> Column:
     """Rows aliased ``t`` and ``s`` have the same key."""
     same = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) if null_safe else F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
@@ -53,8 +64,7 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Mapping[str, Column]
     if not isinstance(keys, Mapping):
         keys = {k: F.col(k) for k in keys}
     names = [f"_key_{i}" for i in range(len(keys))]
-    s = source.withColumns(dict(zip(names, keys.values(), strict=True)))
-    s = dedupe(s, names, *(F.col(c).asc_nulls_last() for c in source.columns))
+    s = first(source.withColumns(dict(zip(names, keys.values(), strict=True))), names, *source.columns)
     t = target.select(*(e.alias(n) for n, e in zip(names, keys.values(), strict=True)))
     new = s.alias("t").join(t.alias("s"), matches(names, null_safe), "left_anti").select(*target.columns)
     return target.unionByName(new)

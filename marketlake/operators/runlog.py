@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.scalar import preview, units_between
+from marketlake.operators.merge import matches
+from marketlake.operators.ranks import listed
 
 RATE = 3.0  # price of a credit
 GB = 1024.0**3
@@ -57,8 +59,16 @@ def ingest(files: DataFrame) -> DataFrame:
     return files.groupBy(day("load_ts"), "pipe").agg(F.count("*").alias("files"), F.sum("n_rows").alias("n_rows"), F.round(F.sum("n_bytes") / MB, 4).alias("mb"))
 
 
-def errors(files: DataFrame) -> DataFrame:
-    return files.where(F.col("error").isNotNull()).groupBy(day("load_ts"), "status").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("messages"))
+def error_messages(files: DataFrame) -> DataFrame:
+    """Every message of a day with its count, as rows."""
+    return files.where(F.col("error").isNotNull()).groupBy(day("load_ts"), "status", "error").agg(F.count("*").alias("n"))
+
+
+def errors(files: DataFrame, most: int = 100) -> DataFrame:
+    """Load errors by day and status with their first ``most`` messages; all of them are in ``error_messages``."""
+    rows = error_messages(files)
+    total = rows.groupBy("day", "status").agg(F.sum("n").alias("n")).alias("t")
+    return total.join(listed(rows, ("day", "status"), "error", most, "; ", "messages").alias("s"), matches(("day", "status"))).select("t.*", "messages")
 
 
 def longest(log: DataFrame, limit: int = 10) -> DataFrame:
@@ -129,10 +139,44 @@ def resumes(log: DataFrame, resume: str = "RESUME", suspend: str = "SUSPEND", le
     return out.where(F.col("resumes") + F.col("suspends") >= least)
 
 
+#: Characters of a name that are looked up in texts.
+ANCHOR = 4
+
+
+def grams(text: Column, length: int | Column) -> Column:
+    """Distinct stretches of ``length`` characters."""
+    length = F.lit(length) if isinstance(length, int) else length
+    last = F.char_length(text) - length
+    return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i + 1, length)))).otherwise(F.array().cast("array<string>"))
+
+
+def naming(names: DataFrame, texts: DataFrame, name: str, text: str) -> DataFrame:
+    """Pairs (name, text) of distinct values where the text contains the name, as (``name``, ``text``).
+
+    Texts are an inverted table of their stretches of as many characters as names have,
+    ``ANCHOR`` at most. Each name is looked up under the rarest of its own stretches, by
+    equality; what is found there is held against the whole name. A stretch that no text
+    holds rules its name out at once. Null names and texts match nothing, an empty name
+    every text.
+    """
+    names, texts = names.select(F.col(name).alias("_name")).where("_name IS NOT NULL").distinct(), texts.select(F.col(text).alias("_text")).where("_text IS NOT NULL").distinct()
+    size = F.least(F.char_length("_name"), F.lit(ANCHOR))
+    parts = names.select("_name", F.explode(grams(F.col("_name"), size)).alias("_gram"))
+    wanted = parts.select("_gram").distinct()
+    sizes = sorted(r[0] for r in names.select(size).distinct().collect())  # ANCHOR + 1 of them at most
+    stretches = F.flatten(F.array(*(grams(F.col("_text"), k) for k in sizes))) if sizes else F.array().cast("array<string>")
+    found = texts.select("_text", F.explode(stretches).alias("_gram")).join(wanted, "_gram", "left_semi")
+    held = found.groupBy("_gram").agg(F.count("*").alias("_n"))
+    parts = parts.join(held, "_gram", "left").groupBy("_name").agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"), F.min(F.coalesce("_n", F.lit(0))).alias("_n"))
+    pairs = parts.where("_n > 0").select("_name", "_gram").join(found, "_gram")
+    return pairs.where(F.contains("_text", "_name")).select(F.col("_name").alias(name), F.col("_text").alias(text))
+
+
 def text_match(tables: DataFrame, log: DataFrame) -> DataFrame:
-    """Cost of the runs that name a table. Runs are summed by text first, names and texts are few: the pair test isn't by row."""
+    """Cost of the runs that name a table. Runs are summed by text first, and names meet texts by equal stretches of characters."""
     texts = log.groupBy("text").agg(F.sum("credits").alias("c"), F.count("*").alias("n"))
-    hit = tables.join(texts, F.contains(F.col("text"), F.col("table_name")), "left")
+    cost = naming(tables, texts, "table_name", "text").join(texts, "text").groupBy("table_name").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+    hit = tables.select("table_name", "n_rows").join(cost, "table_name", "left")
     return hit.groupBy("table_name", "n_rows").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("runs"), F.round(F.coalesce(F.sum("c"), F.lit(0.0)), 4).alias("credits"))
 
 

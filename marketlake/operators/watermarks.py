@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.scalar import older_than, quarter_end
 from marketlake.operators.merge import update_from, update_where
+from marketlake.operators.ranks import place_within
 from marketlake.specs import eligibility
 
 SEED = "LISTING_STATUS"
@@ -86,8 +87,7 @@ def by_priority(wm: DataFrame, as_of: Column, policy: DataFrame) -> DataFrame:
     last = F.col("last_successful_run")
     rows = wm.join(F.broadcast(policy), "table_name", "left")  # one row a source
     rows = rows.where(last.isNull() | F.col("refresh_days").isNull() | (F.datediff(as_of, F.to_date(last)) > F.col("refresh_days")))
-    order = Window.partitionBy("table_name").orderBy(F.col("last_successful_run").asc_nulls_first(), "symbol")
-    return rows.withColumn("place", F.row_number().over(order))
+    return place_within(rows, "table_name", F.col("last_successful_run").asc_nulls_first(), F.col("symbol"))
 
 
 def mode(wm: DataFrame, as_of: Column, staleness: int = 5) -> DataFrame:
