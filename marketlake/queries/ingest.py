@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions import scalar
+from marketlake.operators import merge
+from marketlake.operators.documents import etf_profiles
 from marketlake.plans.loads import load, prepare
 from marketlake.plans.scratch import scratch
 from marketlake.plans.store import TableStore
-from marketlake.queries.inputs import AS_OF
+from marketlake.queries.inputs import AS_OF, day
 from marketlake.queries.registry import Group, Tables
 from marketlake.sources import landing, payloads
-from marketlake.specs import SPECS
+from marketlake.sources.landing import required
+from marketlake.specs import OVERVIEW, SPECS, STATEMENT_DIGITS
 
 G = Group()
 PRICE_COLUMNS = ("symbol", "date", "close", "volume", "seq")
@@ -238,6 +241,7 @@ def load_statement(source: str):
     """A query and its SQL: payloads with every field of the statement, one in nine a token for a missing value, through the load plan."""
     fields = payloads.statement_fields(source)
     numbers = [c for c in payloads.STATEMENTS[source] if c != "reported_currency"]
+    digits = "decimal({},{})".format(*STATEMENT_DIGITS[source])
 
     def query(t: Tables) -> DataFrame:
         value = lambda i: F.when((F.col("n_lines") + i) % 9 == 0, F.lit("None")).otherwise((F.col("n_lines") * 100 + i).cast("string"))
@@ -246,10 +250,10 @@ def load_statement(source: str):
         docs = t.statements.groupBy("symbol").agg(of("annual"), of("quarterly"))
         rows = payloads.reports(docs.select("symbol", F.to_json(F.struct("annualReports", "quarterlyReports")).alias("payload")), "payload", fields)
         staged = rows.unionByName(rows.where("period_type = 'annual'"))  # a batch that holds rows twice
-        target = landing.typed(rows.where("period_type = 'annual'"), SPECS[source]).withColumn(numbers[0], F.lit(-1).cast("decimal(20,2)"))
+        target = landing.typed(rows.where("period_type = 'annual'"), SPECS[source]).withColumn(numbers[0], F.lit(-1).cast(digits))
         return load(target, staged, source)
 
-    columns = ", ".join(f"CASE WHEN (n_lines + {i}) % 9 <> 0 THEN CAST(n_lines * 100 + {i} AS DECIMAL(20,2)) END AS {c}" for i, c in enumerate(numbers))
+    columns = ", ".join(f"CASE WHEN (n_lines + {i}) % 9 <> 0 THEN CAST(n_lines * 100 + {i} AS {digits}) END AS {c}" for i, c in enumerate(numbers))
     return query, f"SELECT symbol, fiscal_date_ending, period_type, 'USD' AS reported_currency, {columns} FROM statements"
 
 
@@ -270,3 +274,70 @@ G.add("load_transcripts", load_transcripts, r"""
     SELECT DISTINCT symbol, quarter, speaker, sentiment, md5(content) AS content_md5 FROM k WHERE quarter LIKE '2000%' UNION ALL
     SELECT symbol, quarter, speaker, sentiment, md5(content) FROM (SELECT * FROM k WHERE quarter NOT LIKE '2000%'
         QUALIFY row_number() OVER (PARTITION BY symbol, quarter, speaker, sentiment, l, r ORDER BY content DESC NULLS LAST) = 1)""")
+
+
+def load_overview(t: Tables) -> DataFrame:
+    """Overviews with every field, in an older and a newer file for some symbols, into a table that holds a third of them: the newest file's row replaces the table's."""
+    numbers, rows = list(OVERVIEW), t.overview
+    fields = payloads.overview_fields(numbers)
+
+    def files(rows: DataFrame, run: str, shift: int) -> DataFrame:
+        value = lambda i: F.when((F.col("n") + i) % 9 == 0, F.lit("None")).otherwise(F.concat((F.col("n") * 100 + i + shift).cast("string"), F.lit(".123456")))
+        texts = {"symbol": F.col("symbol"), "name": F.concat(F.lit(" Company "), "n"), "sector": F.col("sector"), "industry": F.col("industry"), "cik": F.lit("N/A"), "latest_quarter": F.col("latest_quarter"), "dividend_date": F.lit("2024-02-30"), "ex_dividend_date": F.lit("2024-03-01")}
+        own = [texts.get(c, F.lit("text")).alias(fields[c]) for c in (*payloads.OVERVIEW_TEXTS, *payloads.OVERVIEW_DATES)] + [value(i).alias(fields[c]) for i, c in enumerate(numbers)]
+        return rows.select(F.concat("symbol", F.lit(f"_{run}.json")).alias("source_filename"), F.to_json(F.struct(*own)).alias("doc"))
+
+    staged = payloads.overview_rows(files(rows.where("n % 2 = 0"), "20010701", 7).unionByName(files(rows, "20010801", 0)), "doc", numbers)
+    target = merge.stamp(landing.typed(payloads.overview_rows(files(rows.where("n % 3 = 0"), "20010601", 3), "doc", numbers).drop("source_filename"), SPECS["COMPANY_OVERVIEW"]), F.lit("2001-01-01").cast("date"))
+    return load(target, staged, "COMPANY_OVERVIEW", "source_filename", as_of=day())
+
+
+_cells = ", ".join(f"CASE WHEN (n + {i}) % 9 <> 0 THEN TRY_CAST(concat(CAST(n * 100 + {i} AS STRING), '.123456') AS DECIMAL({p},{s})) END AS {c}" for i, (c, (p, s)) in enumerate(OVERVIEW.items()))
+_texts = ", ".join(f"'text' AS {c}" for c in payloads.OVERVIEW_TEXTS if c not in ("symbol", "name", "cik", "sector", "industry"))
+G.add("load_overview", load_overview, f"""
+    SELECT symbol, concat('Company ', n) AS name, CAST(NULL AS STRING) AS cik, sector, industry, {_texts}, TRY_CAST(CASE WHEN latest_quarter <> 'None' THEN latest_quarter END AS DATE) AS latest_quarter,
+        CAST(NULL AS DATE) AS dividend_date, DATE '2024-03-01' AS ex_dividend_date, {_cells}, {{symbol_id:symbol}} AS symbol_id, DATE '{AS_OF}' AS load_date FROM overview""")
+
+
+def load_insiders(t: Tables) -> DataFrame:
+    """Transactions under the service's names into a table that holds the older half; rows without a date or a type are left out."""
+    rows = t.insiders.select(
+        F.col("symbol").alias("ticker"), F.when(F.col("seq") % 41 == 0, "None").otherwise(F.col("transaction_date").cast("string")).alias("transaction_date"), F.col("insider_name").alias("executive"), F.lit("Officer").alias("executive_title"),
+        F.lit("Common").alias("security_type"), F.when(F.col("seq") % 43 != 0, F.col("transaction_type")).alias("acquisition_or_disposal"), F.concat(F.col("shares").cast("string"), F.lit("1")).alias("shares"), F.when(F.col("seq") % 7 == 0, "abc").otherwise(F.col("price_per_share").cast("string")).alias("share_price"), "seq",
+    )
+    staged = rows.select("seq", *(F.col(p).alias(c) for c, p in payloads.INSIDER_FIELDS.items()))
+    old = merge.first(required(landing.typed(staged.where("seq % 2 = 0"), SPECS["INSIDER_TRANSACTIONS"]), SPECS["INSIDER_TRANSACTIONS"]), INSIDER_KEY, "seq").drop("seq")
+    target = merge.stamp(old, F.lit("2001-01-01").cast("date"))
+    return load(target, staged.withColumn("recency", -F.col("seq")), "INSIDER_TRANSACTIONS", "recency", as_of=day())
+
+
+INSIDER_KEY = list(SPECS["INSIDER_TRANSACTIONS"].keys)
+G.add("load_insiders", load_insiders, f"""
+    WITH x AS (
+        SELECT symbol, CASE WHEN seq % 41 <> 0 THEN transaction_date END AS transaction_date, CASE WHEN seq % 43 <> 0 THEN transaction_type END AS transaction_type,
+            TRY_CAST(CAST(shares AS STRING) || '1' AS DECIMAL(38,2)) AS shares, CASE WHEN seq % 7 <> 0 THEN CAST(price_per_share AS DECIMAL(38,4)) END AS price_per_share, insider_name, 'Officer' AS insider_title, seq
+        FROM insiders),
+    ok AS (SELECT * FROM x WHERE transaction_date IS NOT NULL AND transaction_type IS NOT NULL),
+    one AS (SELECT *, seq % 2 = 0 AS even, row_number() OVER (PARTITION BY symbol, transaction_date, insider_name, transaction_type, seq % 2 ORDER BY seq) AS r FROM ok),
+    old AS (SELECT * FROM one WHERE even AND r = 1),
+    new AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY symbol, transaction_date, insider_name, transaction_type ORDER BY seq) = 1)
+    SELECT symbol, transaction_date, transaction_type, shares, price_per_share, insider_name, insider_title, {{symbol_id:symbol}} AS symbol_id, DATE '2001-01-01' AS load_date FROM old
+    UNION ALL SELECT symbol, transaction_date, transaction_type, shares, price_per_share, insider_name, insider_title, {{symbol_id:symbol}}, DATE '{AS_OF}' FROM new
+    WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.symbol = new.symbol AND old.transaction_date = new.transaction_date AND old.transaction_type = new.transaction_type AND old.insider_name IS NOT DISTINCT FROM new.insider_name)""")
+
+
+def load_etf_profile(t: Tables) -> DataFrame:
+    """Profiles of funds, texts as they came and lists of sectors and holdings, in place of what the table held."""
+    text = {"net_assets": F.lit("1000"), "net_expense_ratio": F.lit("0.0009"), "portfolio_turnover": F.lit("n/a"), "dividend_yield": F.lit(None).cast("string"), "inception_date": F.lit("None"), "leveraged": F.lit("NO")}
+    profiles = etf_profiles(t.etf_parts).select(F.concat(F.lit("landing/etf/"), "symbol", F.lit(".json")).alias("file"), F.to_json(F.struct(*(c.alias(n) for n, c in text.items()), "sectors", "holdings")).alias("doc"))
+    staged = payloads.etf_rows(profiles, "doc", "file")
+    target = merge.stamp(staged.withColumn("leveraged", F.lit("OLD")), F.lit("2001-01-01").cast("date"))
+    weights = lambda c: F.aggregate(c, F.lit(0).cast("decimal(38,2)"), lambda a, x: (a + x["weight"].cast("decimal(20,2)")).cast("decimal(38,2)")).cast("double")
+    out = load(target, staged, "ETF_PROFILE", "symbol", as_of=day())
+    return out.select("symbol", *text, F.size("sectors").cast("long").alias("n_sectors"), F.size("holdings").cast("long").alias("n_holdings"), weights(F.col("sectors")).alias("sector_weight"), weights(F.col("holdings")).alias("holding_weight"), "symbol_id", "load_date")
+
+
+G.add("load_etf_profile", load_etf_profile, f"""
+    SELECT symbol, '1000' AS net_assets, '0.0009' AS net_expense_ratio, 'n/a' AS portfolio_turnover, CAST(NULL AS STRING) AS dividend_yield, 'None' AS inception_date, 'NO' AS leveraged,
+        count(DISTINCT sector) AS n_sectors, count(*) AS n_holdings, CAST(sum(weight) AS DOUBLE) AS sector_weight, CAST(sum(weight) AS DOUBLE) AS holding_weight, {{symbol_id:symbol}} AS symbol_id, DATE '{AS_OF}' AS load_date
+    FROM etf_parts GROUP BY symbol""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,9 @@ from marketlake.operators import checks as Q
 from marketlake.operators import coverage as C
 from marketlake.operators import documents as V
 from marketlake.operators import runlog as L
+from marketlake.plans.scratch import scratch
+from marketlake.plans.store import TableStore
+from marketlake.plans.summaries import summary
 from marketlake.queries.inputs import AS_OF, RUN_AT, day, now, run_at
 from marketlake.queries.registry import Group, Tables
 
@@ -39,10 +42,13 @@ G.add("processing_summary", lambda t: C.processing_summary(t.wm), """
         CAST(max(last_successful_run) AS DATE) AS last_run FROM wm GROUP BY table_name""")
 
 
+def statements(t: Tables) -> DataFrame:
+    """Statements are of suppliers, so every fifth symbol takes a supplier's name."""
+    return t.statements.select(F.concat(F.lit("Customer#"), F.lpad((F.substring("symbol", 10, 9).cast("int") * 5).cast("string"), 9, "0")).alias("symbol"), "fiscal_date_ending")
+
+
 def board(t: Tables) -> DataFrame:
-    """The dashboard; statements are of suppliers, so every fifth symbol takes a supplier's name."""
-    s = t.statements.select(F.concat(F.lit("Customer#"), F.lpad((F.substring("symbol", 10, 9).cast("int") * 5).cast("string"), 9, "0")).alias("symbol"), "fiscal_date_ending")
-    return C.dashboard(t.listing, t.prices, s, t.wm, day())
+    return C.dashboard(t.listing, t.prices, statements(t), t.wm, day())
 
 
 BOARD = f"""
@@ -58,6 +64,20 @@ BOARD = f"""
         CASE WHEN statement_rows IS NULL THEN 'MISSING' WHEN statement_days <= 90 THEN 'FRESH' WHEN statement_days <= 180 THEN 'STALE' ELSE 'VERY_STALE' END AS statement_freshness,
         CASE WHEN price_rows IS NOT NULL AND statement_rows IS NOT NULL THEN 'BOTH' WHEN price_rows IS NOT NULL THEN 'PRICES_ONLY' WHEN statement_rows IS NOT NULL THEN 'STATEMENTS_ONLY' ELSE 'NO_DATA' END AS availability FROM j)"""
 G.add("coverage_dashboard", board, f"WITH {BOARD} SELECT * FROM board")
+
+
+def dashboard_incremental(spark: SparkSession, t: Tables) -> DataFrame:
+    """The dashboard over a stored price table by year, from summaries: the second one reads the rows of the one year that was upserted."""
+    store = TableStore(spark, scratch(spark, "store"))
+    rows = t.prices.select("symbol", "date", "close", F.year("date").alias("year"))
+    store.overwrite("prices", rows.where("year <> 1997 OR close < 50000"), "year", ["symbol", "date"])
+    dashboard = lambda: C.dashboard_of(t.listing, summary(store, "prices", "coverage", ["symbol"], C.PRICE_MEASURES), statements(t), t.wm, day())
+    dashboard()
+    store.upsert("prices", rows.where("year = 1997"), ["year", "symbol", "date"], "year", ["symbol", "date"])
+    return dashboard()
+
+
+G.add_spark("dashboard_incremental", dashboard_incremental, f"WITH {BOARD} SELECT * FROM board")
 G.add("stale_alerts", lambda t: C.stale_alerts(board(t)), f"""
     WITH {BOARD} SELECT *, price_alert IS NOT NULL OR statement_alert IS NOT NULL AS has_alert FROM (
         SELECT symbol, exchange, asset_type, price_days, statement_days, CASE WHEN price_days IS NULL THEN 'NO_PRICES' WHEN price_days > 7 THEN 'STALE_PRICES' END AS price_alert,
@@ -173,6 +193,7 @@ G.add("log_daily", lambda t: L.daily(t.run_log, run_at()), f"SELECT CAST(start_t
 G.add("log_hourly", lambda t: L.hourly(t.run_log), f"SELECT {HOUR} AS hour, count(*) AS runs, round(avg({SEC}), 4) AS avg_seconds, round(sum(credits), 4) AS credits FROM run_log GROUP BY 1 ORDER BY hour DESC LIMIT 24")
 G.add("log_ingest", lambda t: L.ingest(t.file_log), f"SELECT CAST(load_ts AS DATE) AS day, pipe, count(*) AS files, CAST(sum(n_rows) AS BIGINT) AS n_rows, round(sum(n_bytes) / {MB}, 4) AS mb FROM file_log GROUP BY 1, 2")
 G.add("log_errors", lambda t: L.errors(t.file_log), "SELECT CAST(load_ts AS DATE) AS day, status, count(*) AS n, string_agg(DISTINCT error, '; ' ORDER BY error) AS messages FROM file_log WHERE error IS NOT NULL GROUP BY 1, 2")
+G.add("log_error_messages", lambda t: L.error_messages(t.file_log), "SELECT CAST(load_ts AS DATE) AS day, status, error, count(*) AS n FROM file_log WHERE error IS NOT NULL GROUP BY 1, 2, 3")
 G.add("log_longest", lambda t: L.longest(t.run_log), f"SELECT run_id, user_name, kind, round({SEC}, 3) AS seconds, CASE WHEN length(text) > 8 THEN left(text, 8) || '...' ELSE text END AS preview FROM run_log ORDER BY seconds DESC, run_id LIMIT 10")
 G.add("log_patterns", lambda t: L.patterns(t.run_log), f"SELECT CAST(start_ts AS DATE) AS day, kind, count(*) AS runs, round(avg({SEC}), 4) AS avg_seconds, round(max({SEC}), 4) AS max_seconds FROM run_log GROUP BY 1, 2")
 G.add("log_storage", lambda t: L.storage(t.table_stats), f"SELECT schema_name, table_name, n_rows, round(CAST(n_bytes AS DOUBLE) / {GB}, 6) AS gb, round(CAST(n_bytes AS DOUBLE) / {GB} * (23.0::DOUBLE / 1024), 6) AS monthly_cost FROM table_stats")

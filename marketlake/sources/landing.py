@@ -2,13 +2,16 @@
 
 CSV columns bind by name. A read over files with different headers would bind all
 of them by one file's header, so files are grouped by header line (a handful of
-variants) and every group is read with its own. Spark has no reader of first lines
-alone, so finding them reads the text once more; rows beyond a file's first split go at once.
+variants) and every group is read with its own. Header lines are ranged reads: each
+file is opened once more and a buffer or two taken from its beginning, however long it
+is, through its codec. Like the listing of files that is work of the driver, which
+opens many at a time; rows never pass it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +25,36 @@ CORRUPT = "_corrupt"
 
 def header_variants(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv") -> list[tuple[str, list[str]]]:
     """(header line, files) of each distinct header. The list of files is metadata, bounded by their number."""
-    path = path if isinstance(path, str) else list(path)
-    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
-    # A split is read in order, so within one the line counter orders a file's lines.
-    first = lines.where("_metadata.file_block_start = 0").select(F.col("value"), F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("i"))
-    heads = first.groupBy("file").agg(F.min_by("value", "i").alias("head"))
-    return [(r["head"], sorted(r["files"])) for r in heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()]
+    variants: dict[str, list[str]] = {}
+    for file, head in first_lines(spark, path, glob):
+        variants.setdefault(head, []).append(file)
+    return [(head, sorted(files)) for head, files in sorted(variants.items())]
+
+
+#: Bytes of a file that may hold its header line, and files that are opened at a time.
+HEAD_BYTES, OPEN_FILES = 1 << 20, 32
+
+
+def first_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv") -> list[tuple[str, str]]:
+    """(file, first line) of each file that isn't empty; of a line beyond ``HEAD_BYTES`` its beginning."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path if isinstance(path, str) else list(path))
+    files = [r["path"] for r in found.where("length > 0").select("path").collect()]
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(file: str) -> str | None:
+        at = jvm.org.apache.hadoop.fs.Path(file)
+        stream = at.getFileSystem(conf).open(at)
+        try:
+            codec = codecs.getCodec(at)
+            plain = codec.createInputStream(stream) if codec else stream
+            bounded = jvm.org.apache.commons.io.input.BoundedInputStream(plain, HEAD_BYTES)
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bounded, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(OPEN_FILES) as pool:
+        return [(f, h) for f, h in zip(files, pool.map(head, files), strict=True) if h is not None]
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], glob: str = "*.csv", rename: Mapping[str, str] | None = None, **options: str) -> DataFrame:
@@ -49,8 +76,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[s
 
 
 def typed(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Missing-value tokens become null, then the specification's decimals and dates are parsed."""
-    out = df.withColumns({c: scalar.null_tokens(F.col(c)) for c, t in df.dtypes if t == "string" and not c.startswith("_")})
+    """Missing-value tokens become null (not where the source is kept as it came), then the specification's decimals and dates are parsed."""
+    out = df if spec.raw else df.withColumns({c: scalar.null_tokens(F.col(c)) for c, t in df.dtypes if t == "string" and not c.startswith("_")})
     casts = {c: scalar.to_decimal(F.col(c), *p) for c, p in spec.decimals.items() if c in out.columns}
     casts |= {c: scalar.to_double(F.col(c)) for c in spec.doubles if c in out.columns}
     casts |= {c: scalar.to_date(F.col(c)) for c in spec.dates if c in out.columns}

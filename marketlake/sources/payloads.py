@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +68,44 @@ def statement_fields(source: str) -> dict[str, str]:
     return {c: RENAMED.get(c, camel(c)) for c in ("fiscal_date_ending", *STATEMENTS[source])}
 
 
+#: Text columns of the overview, words of its names in capitals, and names that no rule gives (fixed values).
+OVERVIEW_TEXTS = "symbol asset_type name description cik exchange currency country sector industry address fiscal_year_end".split()
+OVERVIEW_DATES = "latest_quarter dividend_date ex_dividend_date".split()
+CAPITALS = "cik ebitda pe peg eps ttm yoy ev".split()
+OVERVIEW_RENAMED = {"week_52_high": "52WeekHigh", "week_52_low": "52WeekLow", "day_50_moving_average": "50DayMovingAverage", "day_200_moving_average": "200DayMovingAverage"}
+#: Columns of an insider transaction with their names in the payload (fixed values).
+INSIDER_FIELDS = {
+    "symbol": "ticker", "transaction_date": "transaction_date", "transaction_type": "acquisition_or_disposal", "shares": "shares",
+    "price_per_share": "share_price", "insider_name": "executive", "insider_title": "executive_title",
+}
+#: Fields of a fund's profile: texts, and lists of structures of texts (fixed values).
+ETF_TEXTS = "net_assets net_expense_ratio portfolio_turnover dividend_yield inception_date leveraged".split()
+ETF_LISTS = {"sectors": ("sector", "weight"), "holdings": ("symbol", "description", "weight")}
+
+
+def overview_fields(numbers: Iterable[str]) -> dict[str, str]:
+    """Every column of the overview with its name in the payload."""
+    pascal = lambda c: "".join(w.upper() if w in CAPITALS else w.capitalize() for w in c.split("_"))
+    return {c: OVERVIEW_RENAMED.get(c, pascal(c)) for c in (*OVERVIEW_TEXTS, *OVERVIEW_DATES, *numbers)}
+
+
+def overview_rows(df: DataFrame, text: str, numbers: Iterable[str]) -> DataFrame:
+    """A payload's fields as text columns; other columns stay."""
+    fields = overview_fields(numbers)
+    struct = "struct<" + ",".join(f"`{p}`:string" for p in fields.values()) + ">"
+    rest = [c for c in df.columns if c != text]
+    rows = df.select(*rest, F.try_variant_get(F.try_parse_json(text), "$", struct).alias("_r"))
+    return rows.select(*rest, *(F.col(f"_r.`{p}`").alias(c) for c, p in fields.items()))
+
+
+def etf_rows(df: DataFrame, text: str, file: str) -> DataFrame:
+    """A fund's profile as it came, the symbol from the file's name."""
+    v = F.try_parse_json(text)
+    lists = {c: "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>" for c, fields in ETF_LISTS.items()}
+    symbol = F.split_part(F.split_part(F.col(file), F.lit("/"), F.lit(-1)), F.lit("."), F.lit(1))
+    return df.select(symbol.alias("symbol"), *(F.try_variant_get(v, f"$.{c}", "string").alias(c) for c in ETF_TEXTS), *(F.try_variant_get(v, f"$.{c}", kind).alias(c) for c, kind in lists.items()))
+
+
 def camel(column: str) -> str:
     head, *rest = column.split("_")
     return head + "".join(w.capitalize() for w in rest)

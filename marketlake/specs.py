@@ -25,6 +25,7 @@ class SourceSpec:
     doubles: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
+    raw: bool = False  # texts are kept as they came, missing-value tokens too
 
     def eligible(self, asset_type: Column, status: Column) -> Column:
         fits = asset_type.isin(*self.asset_types)
@@ -42,8 +43,12 @@ OVERVIEW = {
 PRICES = {"open": (18, 4), "high": (18, 4), "low": (18, 4), "close": (18, 4), "adjusted_close": (20, 4), "volume": (20, 0), "dividend_amount": (18, 6), "split_coefficient": (18, 6)}
 
 
+#: Digits of a statement's numbers (fixed values).
+STATEMENT_DIGITS = {"BALANCE_SHEET": (38, 2), "INCOME_STATEMENT": (20, 2), "CASH_FLOW": (38, 2)}
+
+
 def _numbers(source: str) -> dict[str, tuple[int, int]]:
-    return {c: (20, 2) for c in STATEMENTS[source] if c != "reported_currency"}
+    return {c: STATEMENT_DIGITS[source] for c in STATEMENTS[source] if c != "reported_currency"}
 
 
 _REPORT = {"keys": ("symbol", "fiscal_date_ending", "period_type"), "active_only": True, "staleness_days": 135, "dates": ("fiscal_date_ending",), "required": ("symbol", "fiscal_date_ending", "period_type")}
@@ -56,9 +61,9 @@ SPECS = {
         SourceSpec("BALANCE_SHEET", decimals=_numbers("BALANCE_SHEET"), **_REPORT),
         SourceSpec("INCOME_STATEMENT", decimals=_numbers("INCOME_STATEMENT"), **_REPORT),
         SourceSpec("CASH_FLOW", decimals=_numbers("CASH_FLOW"), **_REPORT),
-        SourceSpec("INSIDER_TRANSACTIONS", ("symbol", "transaction_date", "insider_name", "transaction_type"), merge="insert_only", active_only=True, staleness_days=30, decimals={"shares": (38, 2), "price_per_share": (38, 4)}, dates=("transaction_date",), required=("transaction_date",)),
+        SourceSpec("INSIDER_TRANSACTIONS", ("symbol", "transaction_date", "insider_name", "transaction_type"), merge="insert_only", active_only=True, staleness_days=30, decimals={"shares": (38, 2), "price_per_share": (38, 4)}, dates=("transaction_date",), required=("symbol", "transaction_date", "transaction_type")),
         SourceSpec("EARNINGS_CALL_TRANSCRIPT", ("symbol", "quarter", "speaker", "sentiment", "left(content, 50)", "right(content, 50)"), merge="insert_only", active_only=True, staleness_days=135, doubles=("sentiment",), required=("symbol", "quarter")),
-        SourceSpec("ETF_PROFILE", ("symbol",), merge="replace", asset_types=("ETF",), decimals={"net_assets": (20, 0)}, doubles=("net_expense_ratio", "portfolio_turnover", "dividend_yield"), dates=("inception_date",), required=("symbol",)),
+        SourceSpec("ETF_PROFILE", ("symbol",), merge="replace", asset_types=("ETF",), required=("symbol",), raw=True),
     )
 }
 
