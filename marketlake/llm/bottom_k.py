@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from .common import slices, stored, word_codes
 
 RUN, SHORT_LIST = 4, 16
+#: Ratio of the sizes at either end of a band.
+BAND = 1.02
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -193,6 +195,31 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select(*pairs.columns)
 
 
+def band(n: Column) -> Column:
+    """Sizes that differ by less than a fiftieth or so share a band."""
+    return F.floor(F.log(n) / math.log(BAND)).cast("int")
+
+
+def meetings(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of rows of ``prefix`` (s, node, root, n, _at) under one shingle that sizes and places don't rule out, but for the width of a band.
+
+    From its size and the shingle's place in it, a set knows the sizes that a partner may
+    have. Rows go to the bands of these sizes, and meet where each is in a band that the
+    other allows: holders of a passage that are too unlike for a link never meet, however many.
+    """
+    by_root = prefix.groupBy("s", "root").agg(F.count("*").alias("c"))
+    open_ = by_root.groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    n, rest = F.col("n"), F.lit(1) + F.col("n") - F.col("_at")
+    low = F.expr(f"({percent} * n + 99) div 100")
+    high = F.least(F.expr(f"100 * n div {percent}"), F.floor((100 + percent) * rest / percent).cast("long") - n)
+    rows = prefix.withColumns({"_low": low, "_high": high}).where("_high >= _low").join(open_.select("s", "main"), "s")
+    rows = rows.withColumns({"_own": band(n), "_theirs": F.explode(F.sequence(band(F.col("_low")), band(F.col("_high"))))})
+    side = lambda c, own, theirs: rows.select("s", "main", F.col("_own").alias(own), F.col("_theirs").alias(theirs), *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "_at")))
+    # Of two holders with different roots one is outside the largest component: pairs are its few with the others.
+    outer = side("x", "_bx", "_by").where("root_x <> main").drop("main")
+    return outer.join(side("y", "_by", "_bx").drop("main"), ["s", "_bx", "_by"])
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept. docs: doc_id, text.
 
@@ -233,15 +260,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 96)
     prefix = spread(long, sets).withColumn("_at", first).join(members_of, "node")
     prefix = prefix.where(F.col("_at") <= F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1)
     prefix = stored(prefix.where("df > 1").select("s", "node", "root", "n", "_at"), "prefix")
-    by_root = prefix.groupBy("s", "root").agg(F.count("*").alias("c"))
-    open_ = by_root.groupBy("s").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    side = lambda c: prefix.select("s", *(F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "_at")))
-    # Of two holders with different roots one is outside the largest component: pairs are its few with the others.
-    outer = side("x").join(open_.select("s", "main"), "s").where("root_x <> main").drop("main")
     # At the first shingle that two sets share, no more than the rest of either can follow.
     most = 1 + F.least(F.col("n_x") - F.col("_at_x"), F.col("n_y") - F.col("_at_y"))
     other = (F.col("root_x") != F.col("root_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & ((100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y")))
-    rest = outer.join(side("y"), "s").where(other).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    rest = meetings(prefix, percent).where(other).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
     rest = stored(rest.distinct(), "pairs")
     if not rest.isEmpty():
         links = links.unionByName(confirmed(likely(rest, nodes, k, percent), sets, percent))
