@@ -41,45 +41,17 @@ from pyspark.sql import functions as F
 
 from .common import mounted, shared_dir, slices, stored, word_codes
 
-ORDER, BITS = 4, 5
+ORDER = 4
 SHORT = 60.0
 SYMBOLS = b"#*$%&|<>"
-START, END = 0, 1
 KEPT_WORDS = 300_000
-SALT = 1024
+SALT, FEW_LANGUAGES = 1024, 10_000
 CHAR, SHARD = 21, 2_000_000
 START_CHAR, END_CHAR = "\t", "\n"  # no word holds these
 
 
-def _alphabet() -> bytes:
-    """Symbol of each byte: a-z 2..27, digits 28, other ASCII 29 (but ``SYMBOLS``: 31), bytes of other characters 30."""
-    out = bytearray(256)
-    for b in range(256):
-        c = chr(b).lower()
-        out[b] = ord(c) - 95 if "a" <= c <= "z" and b < 128 else 28 if 48 <= b < 58 else 30 if b > 127 else 31 if b in SYMBOLS else 29
-    return bytes(out)
-
-
-ALPHABET = _alphabet()
-MARKS = bytes(b for b in range(256) if ALPHABET[b] in (29, 31))
-
-
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """4-gram keys of words over the alphabet of 32 symbols (for ``smooth``), each padded with starts and an end, and the number of keys of each word."""
-    pad = bytes([START]) * (ORDER - 1)
-    flat = b"".join(pad + w.translate(ALPHABET) + bytes([END]) for w in words)
-    x = np.frombuffer(flat, np.uint8).astype(np.uint32)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    if not len(x):
-        return np.zeros(0, np.uint32), sizes
-    keys = x[ORDER - 1 :].copy()
-    for back in range(1, ORDER):
-        keys |= x[ORDER - 1 - back : len(x) - back] << np.uint32(BITS * back)
-    ends = np.cumsum(sizes + ORDER - 1)
-    keep = np.ones(len(x), bool)  # windows that run from one word into the next's padding
-    for k in range(1, ORDER):
-        keep[ends - k] = False
-    return keys[keep[: len(keys)]], sizes
+#: Bytes that are neither letters nor digits of ASCII nor part of another character.
+MARKS = bytes(b for b in range(128) if not chr(b).isalnum())
 
 
 def repeated_words(ids: np.ndarray, n: int = 8) -> int:
@@ -224,7 +196,13 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 
 def with_language(rows: DataFrame, by: DataFrame, lang: str, key: list[str]) -> DataFrame:
-    """``rows`` with the columns of ``by``, one row a language (null is one too): the rows of one language are dealt over ``SALT`` keys by a hash of ``key``."""
+    """``rows`` with the columns of ``by``, a stored table of one row a language (null is one too).
+
+    Up to ``FEW_LANGUAGES`` it is broadcast; beyond, the rows of one language are dealt over ``SALT`` keys by a hash of ``key``.
+    """
+    if by.count() <= FEW_LANGUAGES:
+        by = by.withColumnRenamed(lang, "_lang")
+        return rows.join(F.broadcast(by), F.col(lang).eqNullSafe(F.col("_lang")), "left").drop("_lang")
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(SALT)))
     by = by.select(F.col(lang).alias("_lang"), *(c for c in by.columns if c != lang), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("_dealt"))
     return rows.join(by, F.col(lang).eqNullSafe(F.col("_lang")) & (F.col("_salt") == F.col("_dealt")), "left").drop("_lang", "_salt", "_dealt")
@@ -246,16 +224,18 @@ def smoothed(counts: DataFrame) -> DataFrame:
         longer = by_order[order + 1].select("language", short[0].alias("high"), short[1].alias("low"))
         by_order[order] = stored(longer.groupBy(*keys).agg(F.count("*").alias("n")), "grams")
     sizes = by_order[1].groupBy("language").agg((-F.log(F.count("*") + 1.0)).alias("value"))
+    # Discounts of every order from one pass over all of them: three numbers a language and order.
+    every = reduce(DataFrame.unionByName, (g.select("language", F.lit(order).alias("order"), "n") for order, g in by_order.items()))
+    c = every.groupBy("language", "order").agg(*(F.count_if(F.col("n") == i).cast("double").alias(f"c{i}") for i in range(1, 5)))
+    y = F.when(F.col("c1") > 0, F.col("c1") / (F.col("c1") + 2 * F.col("c2"))).otherwise(0.5)
+    d = [F.when(F.col(f"c{i}") > 0, F.least(F.greatest(i - (i + 1) * y * F.col(f"c{i + 1}") / F.col(f"c{i}"), F.lit(0.1)), F.lit(i - 0.1))).otherwise(min(0.5 * i, 1.0)) for i in (1, 2, 3)]
+    discounts = stored(c.select("language", "order", *(x.alias(f"d{i}") for i, x in enumerate(d, 1))), "discounts")
     lower = stored(sizes.select("language", F.lit(0).cast("long").alias("high"), F.lit(0).cast("long").alias("low"), "value"), "gram_p")
     out = [lower.select("language", F.lit(0).alias("order"), F.lit(False).alias("weight"), "high", "low", "value")]
     for order in range(1, ORDER + 1):
         grams, n = by_order[order], F.col("n")
-        c = grams.groupBy("language").agg(*(F.count_if(n == i).cast("double").alias(f"c{i}") for i in range(1, 5)))
-        y = F.when(F.col("c1") > 0, F.col("c1") / (F.col("c1") + 2 * F.col("c2"))).otherwise(0.5)
-        d = [F.when(F.col(f"c{i}") > 0, F.least(F.greatest(i - (i + 1) * y * F.col(f"c{i + 1}") / F.col(f"c{i}"), F.lit(0.1)), F.lit(i - 0.1))).otherwise(min(0.5 * i, 1.0)) for i in (1, 2, 3)]
-        c = c.select("language", *(x.alias(f"d{i}") for i, x in enumerate(d, 1)))
         before = {4: (high.bitwiseAND(mask), low), 3: (F.lit(0).cast("long"), low), 2: (F.lit(0).cast("long"), low.bitwiseAND(mask)), 1: (F.lit(0).cast("long"), F.lit(0).cast("long"))}[order]
-        grams = with_language(grams, c, "language", keys).withColumns({
+        grams = with_language(grams, discounts.where(F.col("order") == order).drop("order"), "language", keys).withColumns({
             "taken": F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3")),
             "ch": F.shiftright(high, CHAR), "cl": F.shiftleft(high.bitwiseAND(mask), CHAR).bitwiseOR(F.shiftright(low, CHAR)),
             "sh": before[0], "sl": before[1],
@@ -282,54 +262,6 @@ def hashes(key: str, order: int, weight: bool, high: np.ndarray, low: np.ndarray
     return mixed(mixed(high.astype(np.uint64) + np.uint64(seed)) + low.astype(np.uint64))
 
 
-def smooth(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Reference in memory over the alphabet of 32 symbols, modified Kneser-Ney by order from 1: sorted keys and log probabilities, sorted contexts and log back-off weights.
-
-    Below the highest order counts are numbers of distinct symbols before an n-gram.
-    Probabilities are interpolated; unseen n-grams take the context's weight times
-    the lower order's probability, down to a uniform share of the alphabet.
-    """
-    tables, k, c = [], keys.astype(np.int64), counts.astype(np.float64)
-    by_order = {ORDER: (k, c)}
-    for order in range(ORDER - 1, 0, -1):
-        k, at = np.unique(by_order[order + 1][0] & ((1 << BITS * order) - 1), return_inverse=True)
-        by_order[order] = k, np.bincount(at).astype(np.float64)
-    lower = None
-    for order in range(1, ORDER + 1):
-        k, c = by_order[order]
-        sizes = [float((c == i).sum()) for i in range(1, 5)]
-        y = sizes[0] / (sizes[0] + 2 * sizes[1]) if sizes[0] else 0.5
-        d = [min(max(i - (i + 1) * y * sizes[i] / sizes[i - 1], 0.1), i - 0.1) if sizes[i - 1] else min(0.5 * i, 1.0) for i in (1, 2, 3)]
-        taken = np.select([c == 1, c == 2], [d[0], d[1]], d[2])
-        contexts, at = np.unique(k >> BITS, return_inverse=True)
-        total, held = np.bincount(at, weights=c), np.bincount(at, weights=taken)
-        below = np.full(len(k), 1.0 / (1 << BITS))
-        if lower is not None:
-            below = np.exp(lower[1][np.searchsorted(lower[0], k & ((1 << BITS * (order - 1)) - 1))])
-        p = (c - taken) / total[at] + held[at] / total[at] * below
-        lower = k, np.log(p)
-        tables.append((k.astype(np.uint32), np.log(p).astype(np.float32), contexts.astype(np.uint32), np.log(held / total).astype(np.float32)))
-    return tables
-
-
-def score(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], keys: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of 4-grams, by search in the sorted arrays."""
-    out, open_ = np.zeros(len(keys)), np.arange(len(keys))
-    for order in range(ORDER, 0, -1):
-        k, p, contexts, weights = tables[order - 1]
-        own = (keys[open_] & np.uint32((1 << BITS * order) - 1)).astype(np.uint32)
-        at = np.minimum(np.searchsorted(k, own), len(k) - 1)
-        hit = k[at] == own
-        out[open_[hit]] += p[at[hit]]
-        open_, own = open_[~hit], own[~hit]
-        context = own >> np.uint32(BITS)
-        at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-        known = contexts[at] == context
-        out[open_[known]] += weights[at[known]]
-    out[open_] -= math.log(1 << BITS)
-    return out
-
-
 class Model:
     """The files of all languages' models, mapped into memory when they are first needed."""
 
@@ -461,7 +393,7 @@ def bands(scored: DataFrame, width: float) -> DataFrame:
 def quality(docs: DataFrame, width: float = 6.0) -> DataFrame:
     """One row a document: base features, log_perplexity, its language's lower and upper band, and kept. docs: doc_id, text, lang."""
     scored = stored(features(docs, train(docs)), "quality")
-    out = with_language(scored, bands(scored, width), "lang", ["doc_id"])
+    out = with_language(scored, stored(bands(scored, width), "bands"), "lang", ["doc_id"])
     slack = F.lit(1.0) + SHORT / F.greatest(F.col("symbols"), F.lit(1))
     far = F.col("log_perplexity") - F.col("middle")
     outside = F.coalesce((far > (F.col("upper") - F.col("middle")) * slack) | (far < (F.col("lower") - F.col("middle")) * slack), F.lit(False))
