@@ -1,14 +1,15 @@
 """From raw documents to token ids: quality rules, near-dedup, benchmark decontamination, SentencePiece.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
-Parquet and hands the next stage what it reads back. Rows are told apart by hashes
-of their key, text and language, so repeated and null ids do no harm; all stages but
-the last pass the documents' columns through unchanged, whatever else they are.
+Parquet and hands the next stage what it reads back. Rows are told apart by two hashes
+of 64 bits over their key, text and language, each with its null marks, so repeated and
+null ids do no harm; all stages but the last pass the documents' columns through
+unchanged, whatever else they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import bottom_k, decontaminate, pieces, quality
@@ -16,13 +17,31 @@ from marketlake.llm.common import stored, table
 from marketlake.llm.queries import tokenizer
 
 
+def hashes(columns: list[Column]) -> tuple[Column, Column]:
+    """Two hashes of a row."""
+    return F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *columns)
+
+
 def tagged(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a hash of the row's id, text and language, under a name that no column has."""
+    """``docs`` with a number of the row's id, text and language, under a name that no column has.
+
+    The number is the first hash; rows that share it but not the second one (a few pairs
+    in 10**11 rows) are found by one aggregate over all rows and take the second.
+    """
     name = "_row"
-    while name.lower() in map(str.lower, docs.columns):
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
     columns = [F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("doc_id", "text", "lang")]
-    return docs.withColumn(name, F.xxhash64(*columns)), name
+    marked = [x for c in columns for x in (c.isNull(), c)]
+    first, second = hashes(marked)
+    same = docs.select(first.alias(name), second.alias("b")).groupBy(name).agg(F.min("b").alias("lo"), F.max("b").alias("hi"))
+    clashes = stored(same.where("lo <> hi").select(name), "clashes")
+    rows = docs.withColumn(name, first)
+    if clashes.isEmpty():
+        return rows, name
+    hit = f"{name}hit"
+    rows = rows.join(clashes.withColumn(hit, F.lit(True)), name, "left")
+    return rows.withColumn(name, F.when(F.col(hit), second).otherwise(F.col(name))).drop(hit), name
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

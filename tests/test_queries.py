@@ -30,6 +30,25 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+@pytest.mark.parametrize("name", ["marketlake.llm.queries", "corpus_pipeline"])
+def test_entry_without_optional_parts(monkeypatch, name):
+    """A part that can't be imported, because it or something it needs is missing, leaves the others in place."""
+    import importlib
+    import sys
+
+    import __spark_entry__
+
+    every = set(__spark_entry__.queries())
+    monkeypatch.setitem(sys.modules, name, None)
+    alone = importlib.reload(__spark_entry__)
+    market = {n for _, n in NAMES}
+    assert market <= set(alone.queries()) and "pipeline" not in alone.queries() and set(alone.oracle_sql()) <= set(alone.queries())
+    if name != "corpus_pipeline":
+        assert set(alone.queries()) == market
+    monkeypatch.undo()
+    assert set(importlib.reload(__spark_entry__).queries()) == every
+
+
 def test_upsert_reads_few_columns_and_no_python(spark, sf_dir):
     plan = GROUPS["reports"].queries["coverage_dashboard"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
