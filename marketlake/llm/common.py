@@ -27,6 +27,17 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder that the driver and all executors see, under ``spark.checkpoint.dir``.
 

@@ -88,7 +88,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records into ZIP archives in the shared folder, and read back by ranges of the files."""
     marked = warc_zip.mark_revisits(table(spark, sf_dir, "pages"), "page_id", "html", "url")
-    return warc_zip.read_archives(warc_zip.write_archives(marked)).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc_zip.read_archives(warc_zip.write_archives(marked), payloads=False).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ of columns; training and judging are Spark ML and stay in the JVM.
 
 Defined results: an address that is null or has no ``://`` has an empty host and
 path, which no rule fits; where labels have only one verdict it is everyone's, and
-without labels all are allowed. Repeated rows are judged alike.
+without labels all are allowed. Repeated rows are judged alike. Other columns stay,
+whatever their names, but for those of the result, which take their place.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import free_names, lower_ascii
 
 
 class Rule(NamedTuple):
@@ -67,26 +68,27 @@ def ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4)) -> Column:
 def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", train_rows: int = 5_000, columns: int = 1 << 14) -> DataFrame:
     """``pages`` with host, path, rule, verdict and block_probability (null where a rule decides)."""
     host, path = split_url(F.col(url).cast("string"))
+    label, grams, features, y, p, block, raw = free_names(pages, "_label", "_grams", "_features", "_y", "_p", "_block", "_raw")
     rows = pages.withColumns({"host": host, "path": path})
     name, verdict = by_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "_label": verdict})
-    hashed = HashingTF(numFeatures=columns, binary=True, inputCol="_grams", outputCol="_features")
-    labelled = rows.where(F.col("_label").isNotNull()).select("host", "path", "_label").distinct()
-    picked = [labelled.where(F.col("_label") == v).orderBy(F.xxhash64("host", "path"), "host", "path").limit(train_rows) for v in ("allow", "block")]
-    small = hashed.transform(picked[0].unionByName(picked[1]).withColumn("_grams", ngrams(F.col("host"), F.col("path"))))
-    small = small.select("_features", (F.col("_label") == "block").cast("double").alias("_y")).cache()
+    rows = rows.withColumns({"rule": name, label: verdict})
+    hashed = HashingTF(numFeatures=columns, binary=True, inputCol=grams, outputCol=features)
+    labelled = rows.where(F.col(label).isNotNull()).select("host", "path", label).distinct()
+    picked = [labelled.where(F.col(label) == v).orderBy(F.xxhash64("host", "path"), "host", "path").limit(train_rows) for v in ("allow", "block")]
+    small = hashed.transform(picked[0].unionByName(picked[1]).withColumn(grams, ngrams(F.col("host"), F.col("path"))))
+    small = small.select(features, (F.col(label) == "block").cast("double").alias(y)).cache()
     try:
-        n = {r["_y"]: r["count"] for r in small.groupBy("_y").count().collect()}
+        n = {r[y]: r["count"] for r in small.groupBy(y).count().collect()}
         if len(n) == 2:
-            model = LogisticRegression(featuresCol="_features", labelCol="_y", regParam=0.01, maxIter=30, probabilityCol="_p", predictionCol="_block", rawPredictionCol="_raw").fit(small)
+            model = LogisticRegression(featuresCol=features, labelCol=y, regParam=0.01, maxIter=30, probabilityCol=p, predictionCol=block, rawPredictionCol=raw).fit(small)
     finally:
         small.unpersist()
     if len(n) < 2:
         only = F.lit("block" if 1.0 in n else "allow")
-        return rows.withColumns({"verdict": F.coalesce("_label", only), "block_probability": F.lit(None).cast("double")}).drop("_label")
+        return rows.withColumns({"verdict": F.coalesce(label, only), "block_probability": F.lit(None).cast("double")}).drop(label)
     from pyspark.ml.functions import vector_to_array
 
-    out = model.transform(hashed.transform(rows.withColumn("_grams", ngrams(F.col("host"), F.col("path")))))
-    p = F.when(F.col("_label").isNull(), vector_to_array("_p")[1])
-    ruled = F.coalesce("_label", F.when(F.col("_block") == 1.0, F.lit("block")).otherwise(F.lit("allow")))
-    return out.withColumns({"verdict": ruled, "block_probability": p}).drop("_label", "_grams", "_features", "_raw", "_p", "_block")
+    out = model.transform(hashed.transform(rows.withColumn(grams, ngrams(F.col("host"), F.col("path")))))
+    likely = F.when(F.col(label).isNull(), vector_to_array(p)[1])
+    ruled = F.coalesce(label, F.when(F.col(block) == 1.0, F.lit("block")).otherwise(F.lit("allow")))
+    return out.withColumns({"verdict": ruled, "block_probability": likely}).drop(label, grams, features, raw, p, block)

@@ -181,3 +181,17 @@ def test_dedup_stage_judges_rows_not_ids(spark, sf_dir):
     copied, unique = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     rows = spark.createDataFrame([(3, copied), (5, copied), (5, unique), (None, copied)], "doc_id long, text string")
     assert sorted(corpus_pipeline.dedup_stage(spark, rows, sf_dir).collect()) == [(3, copied), (5, unique)]
+
+
+def test_pipeline_tells_rows_apart(spark, monkeypatch):
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(1, None, "x"), (1, "x", None), (None, "a", "b"), (None, "a", "b"), (2, "", ""), (2, None, ""), (2, "", None)], "doc_id long, text string, lang string").withColumns({"_row": F.lit(1), "_ROW_hit": F.lit(2)})
+    for clash in (False, True):
+        if clash:  # every first hash is the same: the second tells the rows apart
+            monkeypatch.setattr(P, "hashes", lambda c: (F.lit(7).cast("long"), F.xxhash64(F.lit(2), *c)))
+        tagged, name = P.tagged(rows)
+        got = tagged.collect()
+        assert len(got) == 7 and len({r[name] for r in got}) == 6 and set(rows.columns) < set(tagged.columns)
+        assert len({r[name] for r in got if r.doc_id is None}) == 1
