@@ -1,19 +1,27 @@
 r"""Token counts from a compiled tokenizer.
 
 A byte-level BPE tokenizer is compiled to two deterministic transducers. The first
-reads characters and marks where the pre-tokenizer's pattern cuts. The second reads
-the bytes of a pre-token; its transitions are annotated with the number of tokens
-that they add (which may be negative: a byte may merge earlier tokens). Its states
-are made as they are met: a state is the longest suffix that begins some token, with
-the last token of each prefix that ends within that suffix. Of all tokens that end
-at a position exactly one forms a stable pair with the last token before it, which
-makes the next state a function of state and byte.
+reads characters by class and cuts texts into pre-tokens as the built-in pattern does:
+``CUTS`` is its table, a dozen states that give the next state and the places to cut,
+at most two characters back. The second reads the bytes of a pre-token; its
+transitions are annotated with the number of tokens that they add (which may be
+negative: a byte may merge earlier tokens). Its states are made as they are met: a
+state is the longest suffix that begins some token, with the last token of each prefix
+that ends within that suffix. Of all tokens that end at a position exactly one forms a
+stable pair with the last token before it, which makes the next state a function of
+state and byte.
 
 A chunk is whitespace and the run after it. Between a character and whitespace the
-pattern always cuts, so a chunk's state map is constant: (start state, count). Maps
-of chunks compose by a prefix scan of their counts. Blocks of a text cut anywhere
-have maps (head, count, tail) that compose too, see ``compose``; very long texts are
-counted that way, block by block.
+pattern always cuts, so a chunk's state map is constant: (start state, count), and maps
+of chunks compose by a prefix scan of their counts.
+
+A block of a long text has a map from each state of the first transducer to the state
+behind the block. A parallel prefix scan over the blocks' maps gives every block the
+state it begins in; then each block is counted by itself, as (head, count, tail)
+around its first and last cuts, and neighbours compose by counting what lies between
+their cuts. Texts beyond ``LONG`` bytes go through that as rows of Spark, a block a
+row: only the small maps and the pieces at borders meet. A pre-token is never split, so
+a run of one class (a million equal letters) is counted in one piece.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens. Strings of special
 tokens inside a text are one token each, as by the library's default.
@@ -28,12 +36,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import free_names, slices, stored
 
 #: White space as Unicode has it (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -41,48 +51,118 @@ _SPACE = re.compile(f"[{SPACE}]")
 _CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _MIXED = re.compile(f"[ \n][{SPACE}]|[{SPACE}][ \n]")
 #: Endings that the pattern cuts off with their apostrophe (fixed values).
-SHORT, LONG = {"s", "t", "m", "d"}, {"r": "e", "v": "e", "l": "l"}
+SHORT, LONG_ENDINGS = {"s", "t", "m", "d"}, {"r": "e", "v": "e", "l": "l"}
 #: Beyond these the compiled states and the chunks' counts are made anew; results don't depend on it.
-KEPT_STATES, KEPT_CHUNKS, BLOCK = 300_000, 400_000, 1 << 20
+KEPT_STATES, KEPT_CHUNKS = 300_000, 400_000
+#: Characters of a block, and bytes of a text whose blocks are rows of their own; results don't depend on them.
+BLOCK, LONG = 1 << 20, 8 << 20
+
+
+# Classes of characters: letters (those of the endings by themselves), numbers, others, the apostrophe, the space, other whitespace, and the end of a text.
+LETTER, SINGLE, FIRST, ELL, EE, NUMBER, OTHER, APOSTROPHE, BLANK, BREAK, STOP = range(11)
+# States: before any character; in a run of letters, numbers or others; behind an apostrophe that may begin an ending, or with r, v or l after it; behind an ending; in whitespace, one or several characters, that ends in a space or not.
+START, LETTERS, NUMBERS, OTHERS, QUOTE, QUOTE_RV, QUOTE_L, ENDING, ONE_BLANK, BLANKS, ONE_BREAK, BREAKS = range(12)
+
+
+class _Classes(dict):
+    def __missing__(self, c: str) -> int:
+        kind = unicodedata.category(c)[0]
+        if _SPACE.match(c):
+            found = BLANK if c == " " else BREAK
+        elif c == "'":
+            found = APOSTROPHE
+        elif c in SHORT:
+            found = SINGLE
+        elif c in LONG_ENDINGS:
+            found = ELL if c == "l" else FIRST
+        elif c == "e":
+            found = EE
+        else:
+            found = {"L": LETTER, "N": NUMBER}.get(kind, OTHER)
+        self[c] = found
+        return found
+
+
+CLASS = _Classes()
+
+
+def _table() -> list[list[tuple[int, tuple[int, ...]]]]:
+    """Of each state and class: the next state, and where the text is cut, in characters before the one that is read."""
+    letters = (LETTER, SINGLE, FIRST, ELL, EE)
+    fresh = {k: LETTERS for k in letters} | {NUMBER: NUMBERS, OTHER: OTHERS, APOSTROPHE: QUOTE, BLANK: ONE_BLANK, BREAK: ONE_BREAK, STOP: START}
+    spaced = fresh | {APOSTROPHE: OTHERS}  # a space before an apostrophe joins it: no ending then
+    out = []
+    for state in range(12):
+        row = {k: (fresh[k], (0,)) for k in range(11)}  # cut before the character, which begins a pre-token
+        if state == START:
+            row = {k: (fresh[k], ()) for k in row}
+        elif state == LETTERS:
+            row |= {k: (LETTERS, ()) for k in letters}
+        elif state == NUMBERS:
+            row[NUMBER] = (NUMBERS, ())
+        elif state in (OTHERS, QUOTE):
+            row |= {k: (OTHERS, ()) for k in (OTHER, APOSTROPHE)}
+            if state == QUOTE:
+                row |= {SINGLE: (ENDING, ()), FIRST: (QUOTE_RV, ()), ELL: (QUOTE_L, ())}
+        elif state in (QUOTE_RV, QUOTE_L):
+            # No ending after all: the apostrophe stands alone and the letter begins a run.
+            row = {k: (LETTERS, (1,)) if k in letters else (fresh[k], (1, 0)) for k in row}
+            row[EE if state == QUOTE_RV else ELL] = (ENDING, ())
+        elif state in (ONE_BLANK, BLANKS, ONE_BREAK, BREAKS):
+            # The last space of a run goes with what follows, another last character stands alone.
+            before = (1,) if state in (BLANKS, BREAKS) else ()
+            row = {k: (spaced[k], before) if state in (ONE_BLANK, BLANKS) else (fresh[k], (*before, 0)) for k in row}
+            row |= {BLANK: (BLANKS, ()), BREAK: (BREAKS, ())}
+        row[STOP] = (START, (1,) if state in (QUOTE_RV, QUOTE_L) else ())
+        out.append([row[k] for k in range(11)])
+    return out
 
 
-@lru_cache(1 << 16)
-def _class(c: str) -> str:
-    if _SPACE.match(c):
-        return "S"
-    kind = unicodedata.category(c)[0]
-    return kind if kind in "LN" else "O"
+CUTS = _table()
+NEXT = [[to for to, _ in row] for row in CUTS]
+
+
+def cut_places(text: str, state: int = START, ahead: str | None = None) -> list[int]:
+    """Where a text is cut (rising, 0 left out unless it is a cut), read from a state on. ahead: the next two characters; None: the text ends."""
+    out, read = [], CLASS
+    for i, c in enumerate(text):
+        state, back = CUTS[state][read[c]]
+        for b in back:
+            out.append(i - b)
+    more = [read[c] for c in ahead] if ahead is not None else []
+    for i, k in enumerate([*more, STOP] if len(more) < 2 else more, len(text)):
+        state, back = CUTS[state][k]
+        out.extend(i - b for b in back)
+    return [p for p in out if 0 <= p < len(text)]
 
 
 def cuts(text: str) -> list[str]:
-    """The pre-tokens of a text: one pass over its characters' classes, with at most two held back."""
-    out, n, i = [], len(text), 0
-    while i < n:
-        start, kind = i, _class(text[i])
-        if kind == "S":
-            while i < n and _class(text[i]) == "S":
-                i += 1
-            if i < n:  # the last space of the run goes with what follows
-                i -= 1
-                if i > start:
-                    out.append(text[start:i])
-                    continue
-                if text[i] != " ":
-                    out.append(text[i])
-                    i += 1
-                    continue
-                kind, i = _class(text[i + 1]), i + 1
-            else:
-                out.append(text[start:])
-                break
-        elif text[i] == "'" and i + 1 < n and (text[i + 1] in SHORT or i + 2 < n and LONG.get(text[i + 1]) == text[i + 2]):
-            i += 2 if text[i + 1] in SHORT else 3
-            out.append(text[start:i])
-            continue
-        while i < n and _class(text[i]) == kind:
-            i += 1
-        out.append(text[start:i])
-    return out
+    """The pre-tokens of a text."""
+    at = [0, *cut_places(text), len(text)]
+    return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True) if a < b]
+
+
+def state_map(text: str) -> list[int]:
+    """The state behind a text for each state before it."""
+    states, read = list(range(12)), CLASS
+    for i, c in enumerate(text):
+        k = read[c]
+        states = [NEXT[s][k] for s in states]
+        if len(set(states)) == 1:
+            state = states[0]
+            for c in text[i + 1 :]:
+                state = NEXT[state][read[c]]
+            return [state] * 12
+    return states
+
+
+def begin_states(maps: np.ndarray) -> np.ndarray:
+    """The state that each of a row of blocks begins in, by a parallel prefix scan over their maps (one a row)."""
+    upto, step = maps.copy(), 1
+    while step < len(upto):  # after each round a map spans twice as many blocks
+        upto[step:] = np.take_along_axis(upto[step:], upto[:-step].copy(), axis=1)
+        step *= 2
+    return np.concatenate([[START], upto[:-1, START]])
 
 
 class Transducer:
@@ -222,38 +302,51 @@ class Counter:
         ends = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))])
         return scan[ends[1:]] - scan[ends[:-1]] + np.array(extra, np.int64)
 
-    def block(self, text: str) -> tuple[str, int, str] | str:
-        """A block's map: (head, count, tail) around its first and last sure cuts, or the block where it has none.
-
-        A sure cut lies between a character and whitespace, whatever comes before or after.
-        """
-        sure = [m.start() + 1 for m in re.finditer(f"[^{SPACE}](?=[{SPACE}])", text)]
-        if not sure:
+    def block(self, text: str, state: int = START, ahead: str | None = None) -> tuple[str, int, str] | str:
+        """A block that begins in a state, as (head, count, tail) around its first and last cuts, or the block where it has none."""
+        places = cut_places(text, state, ahead)
+        if not places:
             return text
-        a, b = sure[0], sure[-1]
-        keys = self.keys(text[a:b])
-        self.learn(set(keys))
-        return text[:a], sum(map(self.known.__getitem__, keys)), text[b:]
+        inner = text[places[0] : places[-1]]
+        keys = [inner[a - places[0] : b - places[0]] for a, b in zip(places[:-1], places[1:], strict=True)]
+        return text[: places[0]], sum(self.bpe.count(k.encode()) for k in keys), text[places[-1] :]
 
     def compose(self, x: tuple[str, int, str] | str, y: tuple[str, int, str] | str) -> tuple[str, int, str] | str:
-        """The map of two neighbouring blocks; associative."""
-        border = lambda s, t: bool(s and t) and not _SPACE.match(s[-1]) and bool(_SPACE.match(t[0]))
+        """Two neighbouring blocks as one: what lies between their cuts is a pre-token. Associative."""
         if isinstance(x, str) and isinstance(y, str):
-            return (x, 0, y) if border(x, y) else x + y
+            return x + y
         if isinstance(x, str):
-            return (x, self.plain(y[0]) + y[1], y[2]) if border(x, y[0]) else (x + y[0], y[1], y[2])
+            return x + y[0], y[1], y[2]
         if isinstance(y, str):
-            return (x[0], x[1] + self.plain(x[2]), y) if border(x[2], y) else (x[0], x[1], x[2] + y)
-        glue = self.plain(x[2]) + self.plain(y[0]) if border(x[2], y[0]) else self.plain(x[2] + y[0])
-        return x[0], x[1] + glue + y[1], y[2]
+            return x[0], x[1], x[2] + y
+        return x[0], x[1] + self.bpe.count((x[2] + y[0]).encode()) + y[1], y[2]
+
+    def total(self, parts: list[tuple[str, int, str] | str]) -> int:
+        """Tokens of a text from its blocks in order. Blocks without a cut are put together first, each once."""
+        runs: list[tuple[str, int, str] | list[str]] = []
+        for p in parts:
+            if isinstance(p, str) and runs and isinstance(runs[-1], list):
+                runs[-1].append(p)
+            else:
+                runs.append([p] if isinstance(p, str) else p)
+        whole: tuple[str, int, str] | str = ""
+        for r in runs:
+            whole = self.compose(whole, "".join(r) if isinstance(r, list) else r)
+        count = lambda t: self.bpe.count(t.encode()) if t else 0
+        return count(whole) if isinstance(whole, str) else count(whole[0]) + whole[1] + count(whole[2])
 
     def blocks(self, text: str, size: int = BLOCK) -> int:
-        """Tokens of a text by the maps of its blocks, neighbours composed first: the scan's upward half."""
-        maps = [self.block(text[i : i + size]) for i in range(0, len(text), size)]
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        whole = maps[0] if maps else ""
-        return self.plain(whole) if isinstance(whole, str) else self.plain(whole[0]) + whole[1] + self.plain(whole[2])
+        """Tokens of a text by its blocks: maps, a scan over them, then every block from the state it begins in."""
+        own = [text[i : i + size] for i in range(0, len(text), size)]
+        if not own:
+            return 0
+        begin = begin_states(np.array([state_map(t) for t in own]))
+        return self.total([self.block(t, int(begin[i]), ahead_of(text, (i + 1) * size)) for i, t in enumerate(own)])
+
+
+def ahead_of(text: str, at: int) -> str | None:
+    """What a block that ends at a place has to see of the next ones; None at the end of the text."""
+    return text[at : at + 2] or None
 
 
 @lru_cache(1)
@@ -267,6 +360,7 @@ def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", limit: int |
     kept = [f for f in df.schema.fields if f.name not in (text, "n_bytes", "n_tokens", "over_limit")]
     more = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]
     more += [T.StructField("over_limit", T.BooleanType())] if limit is not None else []
+    df = df.select(*(f"`{f.name}`" for f in kept), f"`{text}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = compiled(tokenizer)
@@ -277,4 +371,62 @@ def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", limit: int |
             own = [sizes, pa.array(n, pa.int64())] + ([pa.array(n > limit)] if limit is not None else [])
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *own], names=[f.name for f in (*kept, *more)])
 
-    return df.mapInArrow(run, T.StructType([*kept, *more]))
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    long = df.where(size > LONG)
+    if long.isEmpty():
+        return df.mapInArrow(run, T.StructType([*kept, *more]))
+    (number,) = free_names(df, "_number")
+    long = stored(long.withColumn(number, F.monotonically_increasing_id()), "long_texts")
+    counts = long_counts(long.select(F.col(number).alias("id"), F.col(text).alias("text")), tokenizer).withColumnRenamed("id", number)
+    rows = long.join(counts, number).select(*(f"`{f.name}`" for f in kept), size.cast("long").alias("n_bytes"), "n_tokens")
+    if limit is not None:
+        rows = rows.withColumn("over_limit", F.col("n_tokens") > limit)
+    return df.where(size <= LONG).mapInArrow(run, T.StructType([*kept, *more])).unionByName(rows)
+
+
+def long_counts(texts: DataFrame, tokenizer: str, size: int | None = None) -> DataFrame:
+    """(id, n_tokens) of texts (id, text) by their blocks, each a row: maps, the scan over a text's maps, counts, and the sum over a text's borders."""
+    size = size or BLOCK
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = compiled(tokenizer)
+        for batch in batches:
+            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                parts = counter.special.split(text) if counter.special else [text]
+                alone = [counter.plain(p) for p in parts if len(p) <= size]
+                yield pa.RecordBatch.from_pylist([{"id": i, "part": -1, "k": 0, "block": None, "ahead": None, "n": len(parts) - 1 + sum(alone)}], schema=blocks_schema)
+                for part, p in enumerate(parts):
+                    for k, at in enumerate(range(0, len(p), size) if len(p) > size else ()):
+                        yield pa.RecordBatch.from_pylist([{"id": i, "part": part, "k": k, "block": p[at : at + size], "ahead": ahead_of(p, at + size), "n": 0}], schema=blocks_schema)
+
+    blocks_schema = pa.schema([("id", pa.int64()), ("part", pa.int32()), ("k", pa.int32()), ("block", pa.string()), ("ahead", pa.string()), ("n", pa.int64())])
+    blocks = stored(texts.mapInArrow(cut, "id long, part int, k int, block string, ahead string, n long").repartition("id", "part", "k"), "blocks")
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [state_map(t) for t in batch.column("block").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "part", "k")), pa.array(maps, pa.list_(pa.int32()))], names=["id", "part", "k", "map"])
+
+    def scan(table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values("k")
+        return table.assign(begin=begin_states(np.stack(table["map"].to_numpy())).astype(np.int32))[["id", "part", "k", "begin"]]
+
+    maps = blocks.where("part >= 0").select("id", "part", "k", "block").mapInArrow(mapped, "id long, part int, k int, map array<int>")
+    begins = maps.groupBy("id", "part").applyInPandas(scan, "id long, part int, k int, begin int")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = compiled(tokenizer)
+        for batch in batches:
+            found = [counter.block(t, b, a) for t, b, a in zip(*(batch.column(c).to_pylist() for c in ("block", "begin", "ahead")), strict=True)]
+            head, n, tail = zip(*((f, 0, None) if isinstance(f, str) else f for f in found), strict=True) if found else ((), (), ())
+            own = [pa.array(head, pa.string()), pa.array(n, pa.int64()), pa.array(tail, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "part", "k")), *own], names=["id", "part", "k", "head", "n", "tail"])
+
+    def summed(table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values("k")
+        parts = [h if t is None else (h, int(n), t) for h, n, t in zip(table["head"], table["n"], table["tail"], strict=True)]
+        return pd.DataFrame({"id": table["id"].iloc[:1], "n": [compiled(tokenizer).total(parts)]})
+
+    parts = blocks.where("part >= 0").join(begins, ["id", "part", "k"]).mapInArrow(counted, "id long, part int, k int, head string, n long, tail string")
+    sums = parts.groupBy("id", "part").applyInPandas(summed, "id long, n long")
+    return sums.unionByName(blocks.where("part < 0").select("id", "n")).groupBy("id").agg(F.sum("n").alias("n_tokens"))

@@ -155,3 +155,57 @@ def test_held_out_gain(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     r = ngram_trie.score(docs, ngram_trie.build(docs)).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r.s > r.b
+
+
+def test_maps_of_blocks_and_their_scan():
+    r, c = random.Random(9), token_counts.Counter(tokenizer("byte_bpe_50k.json"))
+    for text in fuzz(400):
+        text = text or ""
+        own = [text[i : i + 2] for i in range(0, len(text), 2)]
+        if not own:
+            continue
+        maps = np.array([token_counts.state_map(t) for t in own])
+        state, want = token_counts.START, []
+        for t in own:
+            want.append(state)
+            for ch in t:
+                state = token_counts.NEXT[state][token_counts.CLASS[ch]]
+        assert token_counts.begin_states(maps).tolist() == want
+        k = r.randrange(len(text) + 1)
+        assert token_counts.state_map(text)[token_counts.START] == token_counts.state_map(text[k:])[token_counts.state_map(text[:k])[token_counts.START]]
+        assert "".join(token_counts.cuts(text)) == text
+    assert c.blocks("", 3) == 0
+
+
+def test_long_texts_are_counted_in_rows(spark, edge, monkeypatch):
+    """Every text beyond 40 bytes goes through blocks of 16 characters; then one of 20 MB through blocks of a megabyte, in several tasks."""
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    count = lambda x: len(t.encode(x or "", add_special_tokens=False).ids)
+    texts = [("".join(p), i) for i, p in enumerate([fuzz(40)[k : k + 8] for k in range(0, 40, 8)])] + [("x" * 500, 90), ("<|endoftext|>" * 9 + " a" * 40 + "<|endoftext|>", 91), ("it's " * 50 + "'re", 92), (None, 93), ("", 94), ("漢" * 300, None), ("漢" * 300, None)]
+    rows = spark.createDataFrame([(i, x) for x, i in texts], "doc_id long, text string").withColumns({"_number": F.lit("clash"), "id": F.lit(1)})
+    rows = rows.unionByName(edge.select("doc_id", "text"), allowMissingColumns=True)
+    want = sorted((str(r.doc_id), len((r.text or "").encode()), count(r.text), count(r.text) > 30) for r in rows.collect())
+    monkeypatch.setattr(token_counts, "LONG", 40)
+    monkeypatch.setattr(token_counts, "BLOCK", 16)
+    out = token_counts.count_tokens(rows, path, limit=30)
+    assert out.columns == ["doc_id", "_number", "id", "n_bytes", "n_tokens", "over_limit"]
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in out.collect()) == want
+    monkeypatch.undo()
+    text = "".join(random.Random(4).choices(["the ", "cat's ", "\n\n", "12 ", "naïve, ", "漢字 "], k=4_000_000))
+    big = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert token_counts.count_tokens(big, path).first().n_tokens == sum(count(text[i:j]) for i, j in _pieces(text))
+
+
+def _pieces(text, size=100_000):
+    """Spans that begin at a space after a letter, where every tokenizer of this kind cuts."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        while end < len(text) and not (text[end] == "t" and text[end - 1] == "\n" and text[end - 2] == " "):
+            end += 1
+        yield at, min(end, len(text))
+        at = min(end, len(text))
