@@ -4,8 +4,9 @@ Words (and an end of text) are 64-bit hashes. Spark counts the words of the trai
 rows, then their trigrams: tasks add up their own rows first and send packed blobs,
 one row for each part; a task for each part merges its blobs and writes a file of
 the trie into the shared folder, where every scoring task maps it into memory. The
-model is not broadcast and grows with the corpus; a part's share does not if
-``spark.sql.shuffle.partitions`` grows with it.
+model is not broadcast and grows with the corpus; a part's share of trigrams does not,
+as the number of parts follows from the counted tokens, and one of words does not if
+``spark.sql.shuffle.partitions`` grows with the corpus.
 
 Level 1 (parts by hash of the word): word hashes and running counts, both monotone,
 both in Elias-Fano form, so counts are exact. A word's number is its place in this
@@ -45,6 +46,8 @@ from .common import mounted, shared_dir, slices, word_codes
 from .elias_fano import U64, Monotone, load, save
 
 PARTS, STEP = 4, 1000  # files of upper levels for each shuffle partition; steps of a quantised log10
+PART_TOKENS = 1 << 23  # tokens whose trigrams share a file of upper levels, at most on average
+NARROW = 31  # bits up to which two numbers of words are packed into one
 KEPT_WORDS, KEPT_GRAMS, SLICE, PACKED_BITS = 400_000, 3_000_000, 8 << 20, 63
 
 
@@ -127,11 +130,24 @@ def part_of(first: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
     return ((mixed >> U64(33)) % U64(parts)).astype(np.int64)
 
 
+def distinct_pairs(u: np.ndarray, v: np.ndarray, narrow: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, and the place of each given pair among them; -1 stands for no word."""
+    if narrow:
+        pairs, back = np.unique(((u + 1) << 32) | (v + 1), return_inverse=True)
+        return (pairs >> 32) - 1, (pairs & 0xFFFFFFFF) - 1, back
+    order = np.lexsort((v, u))
+    at = _starts(u[order], v[order])
+    back = np.empty(len(u), np.int64)
+    back[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(u))))
+    return u[order][at], v[order][at], back
+
+
 class Trie:
     """The files of a trie, mapped into memory when they are first needed."""
 
     def __init__(self, folder: str, shards: int, sizes: dict[int, int], total: int, distinct: int):
-        self.folder, self.shards, self.parts, self.open = folder, shards, shards * PARTS, {}
+        self.folder, self.shards, self.open = folder, shards, {}
+        self.parts = max(shards * PARTS, -(-total // PART_TOKENS))
         self.total, self.distinct = total, distinct
         self.offsets = np.concatenate([[0], np.cumsum([sizes.get(i, 0) for i in range(shards)])]).astype(np.int64)
         #: Numbers of words end before this one, which stands for "nothing follows".
@@ -260,8 +276,7 @@ def build(docs: DataFrame, mu2: float = 150.0, mu3: float = 5.0) -> Callable[[],
     # One row for each shuffle partition.
     sums = blobs.groupBy("part").applyInPandas(write_words, "part int, size long, total long, distinct long").collect()
     sizes, total, distinct = {r["part"]: r["size"] for r in sums}, sum(r["total"] for r in sums), sum(r["distinct"] for r in sums)
-    if sum(sizes.values()) >= 1 << 31:
-        raise ValueError("more than 2^31 distinct words: two numbers of words share 64 bits")
+    kind = np.uint32 if sum(sizes.values()) < 1 << NARROW else U64
 
     def opened() -> Trie:
         return Trie(folder, shards, sizes, total, distinct)
@@ -281,7 +296,7 @@ def build(docs: DataFrame, mu2: float = 150.0, mu3: float = 5.0) -> Callable[[],
                 pairs, pair = np.unique((u << 32) | v, return_inverse=True)
                 grams, counts = np.unique((pair << 32) | w, return_counts=True)
                 u, v, w = pairs[grams >> 32] >> 32, pairs[grams >> 32] & 0xFFFFFFFF, grams & 0xFFFFFFFF
-            u, v, w = (numbers[x].astype(np.uint32) for x in (u, v, w))
+            u, v, w = (numbers[x].astype(kind) for x in (u, v, w))
             return _packed(part_of(u, v, trie.parts), [u, v, w, counts.astype(np.uint32)])
 
         for texts in _training(batches):
@@ -303,15 +318,16 @@ def build(docs: DataFrame, mu2: float = 150.0, mu3: float = 5.0) -> Callable[[],
 
     def write_grams(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         trie = opened()
-        u, v, w, counts = _unpacked(pdf, [np.uint32] * 4)
-        pair = (u.astype(U64) << U64(32)) | v
-        order = np.lexsort((w, pair))
-        pair, w = pair[order], w[order]
-        at = _starts(pair, w)
-        pair, w, counts = pair[at], w[at], np.add.reduceat(counts[order].astype(np.int64), at)
-        at = _starts(pair)
-        pairs, c_pair, place = pair[at], np.add.reduceat(counts, at), np.repeat(np.arange(len(at)), np.diff(np.append(at, len(pair))))
-        first, second = (pairs >> U64(32)).astype(np.int64), pairs & U64(0xFFFFFFFF)
+        u, v, w, counts = _unpacked(pdf, [kind] * 3 + [np.uint32])
+        order = np.lexsort((w, v, u))
+        u, v, w = u[order], v[order], w[order]
+        at = _starts(u, v, w)
+        u, v, w, counts = u[at], v[at], w[at], np.add.reduceat(counts[order].astype(np.int64), at)
+        at = _starts(u, v)
+        pairs, c_pair, place = u[at], np.add.reduceat(counts, at), np.repeat(np.arange(len(at)), np.diff(np.append(at, len(u))))
+        if len(pairs).bit_length() + int(trie.bits) > 64:
+            raise ValueError("a part's pairs and a word's number share 64 bits: lower PART_TOKENS")
+        first, second = u[at].astype(np.int64), v[at].astype(U64)
         at = _starts(first)
         firsts, rank = first[at], np.repeat(np.arange(len(at)), np.diff(np.append(at, len(first))))
         real = w != trie.nothing
@@ -367,8 +383,8 @@ def score(docs: DataFrame, opened: Callable[[], Trie], mu2: float = 150.0, mu3:
             if trie.total:
                 at = np.flatnonzero(token)
                 u, v = numbers[ids[at - 1]], numbers[ids[at]]
-                pairs, back = np.unique(((u + 1) << 32) | (v + 1), return_inverse=True)
-                u, v = (pairs >> 32) - 1, (pairs & 0xFFFFFFFF) - 1
+                u, v, back = distinct_pairs(u, v, trie.nothing < 1 << NARROW)
+                pairs = u
                 stored = np.flatnonzero((u >= 0) & (v >= 0))
                 part, place, share, weight = np.zeros(len(pairs), np.int64), np.full(len(pairs), -1), np.zeros(len(pairs)), np.ones(len(pairs))
                 part[stored], place[stored], share[stored], weight[stored] = trie.pairs(u[stored], v[stored])

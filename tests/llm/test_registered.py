@@ -195,3 +195,54 @@ def test_pipeline_tells_rows_apart(spark, monkeypatch):
         got = tagged.collect()
         assert len(got) == 7 and len({r[name] for r in got}) == 6 and set(rows.columns) < set(tagged.columns)
         assert len({r[name] for r in got if r.doc_id is None}) == 1
+
+
+def test_op2(spark, sf_dir, docs):
+    """The registered query against counts in dictionaries, up to the quantised parts of each token's probability."""
+    import math
+
+    def words_of(text):
+        return [w for w in WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))]
+
+    held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 5 == 1 for d in docs}
+    one, two, three = Counter(), Counter(), Counter()
+    for d in docs:
+        if not held[d.doc_id]:
+            seq = ["<s>", *words_of(d.text), "</s>"]
+            one.update(seq)
+            two.update(zip(seq[:-1], seq[1:], strict=True))
+            three.update(zip(seq[:-2], seq[1:-1], seq[2:], strict=True))
+    n = sum(c for w, c in one.items() if w != "<s>")
+    v = len(one) - 1
+    p1 = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
+    p2 = lambda u, w: (two[u, w] + 150 * p1(w)) / (one[u] + 150)
+    p3 = lambda t, u, w: (three[t, u, w] + 5 * p2(u, w)) / (two[t, u] + 5)
+    for r in run(spark, sf_dir, "op2_lm_scoring").values():
+        seq = ["<s>", *words_of(next(d.text for d in docs if d.doc_id == r.doc_id)), "</s>"]
+        tokens = seq[1:]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(tokens), sum(one[w] > 0 for w in tokens), n)
+        assert abs(r.base_score - sum(math.log10(p1(w)) for w in tokens)) < 1e-6 * len(tokens)
+        score = math.log10(p2("<s>", tokens[0])) + sum(math.log10(p3(*x)) for x in zip(seq[:-2], seq[1:-1], seq[2:], strict=True))
+        assert abs(r.score - score) <= 0.001 * len(tokens)
+
+
+def test_op2_with_numbers_beyond_32_bits(spark, sf_dir, monkeypatch):
+    """Wide numbers of words and more parts give the same scores."""
+    from marketlake.llm import ngram_trie
+
+    some = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("doc_id < 80")
+    score = lambda: sorted(map(tuple, ngram_trie.score(some, ngram_trie.build(some)).collect()))
+    want = score()
+    monkeypatch.setattr(ngram_trie, "NARROW", 0)
+    assert score() == want
+
+
+def test_distinct_pairs():
+    import numpy as np
+
+    from marketlake.llm import ngram_trie
+
+    r = np.random.default_rng(1)
+    u, v = r.integers(-1, 9, 500), r.integers(-1, 9, 500)
+    for a, b in zip(ngram_trie.distinct_pairs(u, v, True), ngram_trie.distinct_pairs(u, v, False), strict=True):
+        assert (a == b).all()
