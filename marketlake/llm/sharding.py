@@ -82,6 +82,10 @@ def by_magnitude(c: Column, bits: int) -> Column:
     return F.least(F.floor(F.log2(F.greatest(F.coalesce(c.cast("double"), F.lit(0.0)), F.lit(0.0)) + 1)), F.lit((1 << bits) - 1)).cast("int")
 
 
+#: Pieces of a cell that windows order one by one: this many, or one for so many rows of the table.
+LEAST_SALTS, ROWS_A_SALT = 256, 1_000_000
+
+
 def hilbert_shards(
     df: DataFrame,
     levels: Sequence[Column],
@@ -90,7 +94,7 @@ def hilbert_shards(
     law: str = "rows",
     size: Column | None = None,
     bits: int = 4,
-    salts: int = 256,
+    salts: int | None = None,
     group: Column | None = None,
 ) -> DataFrame:
     """``df`` with ``law``, ``shard`` and ``slot``, the row's place in its shard.
@@ -114,6 +118,7 @@ def hilbert_shards(
     # Groups of more than a thousandth of the rows are few; their rows are split by key, each row of others lies with its group.
     groups = rows.groupBy("group").agg(F.count("*").alias("n"), F.min("cell").alias("first_cell")).where("n > 1")
     total = rows.count()
+    salts = salts or max(LEAST_SALTS, total // ROWS_A_SALT)
     groups = groups.select("group", "first_cell", (F.col("n") * 1000 > total).alias("large"))
     salt = F.pmod(F.col("group"), F.lit(salts)).cast("int").alias("salt")
     large = F.coalesce("large", F.lit(False))
