@@ -50,9 +50,10 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted sidebar sidebars aside nav navbar navigation menu menus breadcrumb breadcrumbs footer footers"
     " cookie cookies consent gdpr notice notices alert popup popups modal overlay newsletter subscribe subscription signup login comment comments disqus reply replies respond"
-    " share sharing social related recommended recommendations widget widgets toolbar pagination pager skip search form".split()
+    " share sharing social related recommended recommendations widget widgets toolbar pagination pager skip search form"
+    " commentlist guestbook adsbygoogle adbox adslot adunit topnav sidenav mainnav mainmenu topmenu sitefooter pagefooter colophon paywall disclaimer".split()
 )
-HEADS = frozenset("header masthead banner topbar".split())
+HEADS = frozenset("header masthead banner topbar siteheader pageheader".split())
 #: Words that take the meaning from HEADS, and from MARKS.
 OF_ARTICLE, NOT_ITSELF = frozenset("article post entry content story title".split()), frozenset("has with no without".split())
 IN_HEAD = frozenset("title base link meta style script noscript template head".split())
