@@ -185,17 +185,11 @@ class Transducer:
     def merge(self, raw: bytes) -> list[bytes]:
         """Merges by rank, for compilation only."""
         parts = [raw[i : i + 1] for i in range(len(raw))]
-        rank, none = self.ranks.get, 1 << 60
-        ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-        while ranks and (least := min(ranks)) < none:
-            i = ranks.index(least)
+        while len(parts) > 1:
+            rank, i = min((self.ranks.get((parts[i], parts[i + 1]), 1 << 60), i) for i in range(len(parts) - 1))
+            if rank == 1 << 60:
+                break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            # Only the pairs on either side of what was merged have changed.
-            if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), none)
         return parts
 
     def pair(self, a: bytes, b: bytes) -> bool:
