@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import checks, merge, ranks, runlog, watermarks
+from marketlake.operators import checks, coverage, merge, ranks, runlog, watermarks
 from marketlake.plans import loads
 from marketlake.plans.store import Conflict, TableStore
 from marketlake.plans.summaries import refresh, summary
@@ -118,6 +118,18 @@ def test_places_within_one_large_group(spark):
     assert plan(out).count("Window [") == 1 and "_task" in plan(out)
 
 
+def test_sources_of_a_symbol_are_sorted_after_the_shuffle(spark):
+    rows = [("a", "X", "YES", 1), ("a", "Y", "NO", 2), ("a", "Z", "NO", 9), ("b", "Y", None, 3), ("c", "Z", "YES", 4), (None, "X", "DEL", None)]
+    wm = spark.createDataFrame(rows, "symbol string, table_name string, api_eligible string, n int")
+    out = coverage.by_source(wm, x=("X", "api_eligible"), y=("Y", "api_eligible"), y_n=("Y", "n"))
+    assert {tuple(r) for r in out.collect()} == {("a", "YES", "NO", 2), ("b", None, None, 3), (None, "DEL", None, None)}
+    board = coverage.dashboard_of(*(spark.createDataFrame([], k) for k in ("symbol string, exchange string, asset_type string, status string", "symbol string, price_rows long, price_first date, price_last date", "symbol string, fiscal_date_ending date")), wm.withColumn("consecutive_failures", F.col("n")), F.lit("2025-01-01").cast("date"))
+    for df in (out, board):
+        lines = [x.strip(" :+-*(0123456789)") for x in df._jdf.queryExecution().sparkPlan().toString().splitlines()]
+        sums = [i for i, x in enumerate(lines) if x.startswith("SortAggregate")]
+        assert sums and lines[max(sums) + 1].startswith("Exchange hashpartitioning(symbol")
+
+
 def test_by_priority_has_no_window_over_rows(spark):
     wm = spark.createDataFrame([("S", f"s{i}", None) for i in range(50)], "table_name string, symbol string, last_successful_run timestamp")
     policy = spark.createDataFrame([("S", 1, 1)], "table_name string, refresh_days int, priority int")
