@@ -53,3 +53,18 @@ def test_upsert_reads_few_columns_and_no_python(spark, sf_dir):
     plan = GROUPS["reports"].queries["coverage_dashboard"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
     assert "o_orderpriority" not in plan and "c_mktsegment" in plan
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(("name", "parser", "shuffle"), [("load_overview", "overview_rows", "RepartitionByExpression")])
+def test_documents_are_parsed_once_by_many_tasks(spark, sf_dir, monkeypatch, name, parser, shuffle):
+    """The rows of documents are stored before the merge, which reads keys and rows apart; documents are made after a shuffle, not by the few tasks that read the short rows."""
+    seen, real = [], getattr(ingest.payloads, parser)
+    monkeypatch.setattr(ingest.payloads, parser, lambda df, *a, **b: seen.append(optimized(df)) or real(df, *a, **b))
+    merged = optimized(ingest.G.queries[name](spark, sf_dir))
+    assert "StructsToJson" not in merged and "_name#" not in merged
+    below = [x for plan in seen for x in plan.split("StructsToJson")[1:]]
+    assert below and all(shuffle in x.partition("Relation [")[0] for x in below)
