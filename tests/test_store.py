@@ -208,6 +208,20 @@ def test_numbers_of_statements_keep_their_digits(spark):
         assert loads.prepare(row, source).first()[column] == want
 
 
+def test_reports_parse_a_payload_once(spark):
+    texts = [("a", '{"annualReports": [{"x": "1"}, {"x": null}], "quarterlyReports": [{"x": "2"}]}'), ("b", '{"quarterlyReports": [{"y": 1}]}'), ("c", '{"annualReports": []}'), ("d", "<html>"), ("e", None)]
+    out = payloads.reports(spark.createDataFrame(texts, "symbol string, p string"), "p", {"v": "x"})
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [("a", "annual", "1"), ("a", "annual", None), ("a", "quarterly", "2"), ("b", "quarterly", None)]))
+    assert plan(out).count("parseJson") == 1
+
+
+def test_latest_carries_a_row_once(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, 5), ("a", 0, 9), (None, None, None), (None, None, 1)], "k string, v int, w int")
+    whole = merge.latest(df, ["k"], *df.columns)
+    assert {tuple(r) for r in whole.collect()} == {("a", 1, 5), (None, None, 1)} and "max_by" not in plan(whole)
+    assert {tuple(r) for r in merge.latest(df, ["k"], "w").collect()} == {("a", 0, 9), (None, None, 1)}
+
+
 def test_payload_names():
     names = payloads.overview_fields(OVERVIEW)
     assert len(names) == 46
