@@ -59,7 +59,7 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize(("name", "parser", "shuffle"), [("load_overview", "overview_rows", "RepartitionByExpression"), ("load_balance_sheet", "reports", "Aggregate")])
+@pytest.mark.parametrize(("name", "parser", "shuffle"), [("load_overview", "overview_rows", "RepartitionByExpression"), ("load_balance_sheet", "reports", "Aggregate"), ("load_cash_flow", "reports", "Aggregate")])
 def test_documents_are_parsed_once_by_many_tasks(spark, sf_dir, monkeypatch, name, parser, shuffle):
     """The rows of documents are stored before the merge, which reads keys and rows apart; documents are made after a shuffle, not by the few tasks that read the short rows."""
     seen, real = [], getattr(ingest.payloads, parser)
