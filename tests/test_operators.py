@@ -160,6 +160,25 @@ def test_landing_edge_rows(spark, tmp_path):
     assert landing.read_csv(spark, str(tmp_path / "in"), ("symbol",), glob="*.none").count() == 0
 
 
+@pytest.mark.parametrize("source", ["BALANCE_SHEET", "CASH_FLOW", "INCOME_STATEMENT"])
+def test_wide_rows_are_parsed_by_code_that_the_jvm_compiles(spark, tmp_path, source):
+    """HotSpot leaves methods of more than 8000 bytes to its interpreter, which is several times slower."""
+    names = ("symbol", "period_type", *payloads.statement_fields(source))
+    cells = ["None", " 12.345 ", "", "abc", None, "1e3", "1234567890123456789.50", "\tN/A", " n/a "]
+    numbers = [c for c in names if c in SPECS[source].decimals]
+    texts = {c: cells[i % len(cells)] for i, c in enumerate(numbers)} | {"symbol": " A ", "period_type": "annual", "fiscal_date_ending": "2024-12-31", "reported_currency": "None"}
+    spark.createDataFrame([tuple(texts[c] for c in names)], ", ".join(f"{c} string" for c in names)).write.parquet(f"{tmp_path}/rows")
+    rows = landing.typed(spark.read.parquet(f"{tmp_path}/rows"), SPECS[source])
+    assert rows.columns == list(names) and all(rows.schema[c].dataType.simpleString() == "decimal({},{})".format(*SPECS[source].decimals[c]) for c in numbers)
+    row, whole = rows.first(), Decimal("1234567890123456789.50") if SPECS[source].decimals[numbers[0]] == (38, 2) else None
+    assert [row[c] for c in numbers[:9]] == [None, Decimal("12.35"), None, None, None, Decimal("1000.00"), whole, None, None]
+    assert (row.symbol, row.reported_currency, row.fiscal_date_ending) == ("A", None, D(2024, 12, 31))
+    debug = getattr(getattr(spark.sparkContext._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+    assert sizes and max(sizes) <= 8000
+
+
 def test_payloads(spark):
     texts = ['{"Error Message": "x"}', '{"Note": "x"}', '{"annualReports": []}', "<html>", '{"annualReports": [{"fiscalDateEnding": "2024-12-31", "totalAssets": "5"}], "quarterlyReports": null}', None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "symbol int, p string")

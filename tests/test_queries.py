@@ -4,6 +4,7 @@ import pytest
 from oracle import connect, same
 
 from marketlake.queries import control, ingest, merges, relational, reports
+from marketlake.queries.registry import Tables
 
 GROUPS = {m.__name__.rpartition(".")[2]: m.G for m in (ingest, merges, control, reports, relational)}
 NAMES = [(g, n) for g, group in GROUPS.items() for n in group.queries]
@@ -68,3 +69,27 @@ def test_documents_are_parsed_once_by_many_tasks(spark, sf_dir, monkeypatch, nam
     assert "StructsToJson" not in merged and "_name#" not in merged
     below = [x for plan in seen for x in plan.split("StructsToJson")[1:]]
     assert below and all(shuffle in x.partition("Relation [")[0] for x in below)
+
+
+def test_report_lines_are_the_statements_and_read_lines_once(spark, tmp_path):
+    """Lines are counted before the join, in one pass for both periods; suppliers of one name add up, lines without a supplier don't count."""
+    lines = [(1, "1995-01-31 00:00:00"), (1, "1995-02-01 00:00:00"), (1, "1995-12-31 23:59:59"), (2, "1995-03-31 12:00:00"), (3, "1995-01-01 00:00:00"), (3, None), (None, "1995-01-01 00:00:00"), (9, "1995-01-01 00:00:00")]
+    spark.createDataFrame(lines, "l_suppkey long, d string").selectExpr("l_suppkey", "CAST(d AS TIMESTAMP) AS l_shipdate", "1.5D AS l_extendedprice", "2.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "Supplier#000000001"), (2, "Supplier#000000001"), (3, None), (4, "Supplier#000000004")], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    t = Tables(spark, str(tmp_path))
+    columns = ["symbol", "fiscal_date_ending", "period_type", "n_lines"]
+    found, wanted = ingest.report_lines(t).select(columns), t.statements.select(columns)
+    assert found.dtypes == wanted.dtypes
+    rows = sorted(map(str, found.collect()))
+    assert rows == sorted(map(str, wanted.collect())) and len(rows) == 7
+    plan = optimized(found)
+    assert plan.count("Relation [l_suppkey") == 1 and "Aggregate" in plan.partition("Join")[2]
+
+
+@pytest.mark.parametrize("name", ["load_cash_flow", "load_balance_sheet", "load_income_statement"])
+def test_statements_meet_the_table_by_shuffle(spark, sf_dir, name):
+    """Sizes that are guessed from small files must not send the batch's keys through the driver."""
+    df = ingest.G.queries[name](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
