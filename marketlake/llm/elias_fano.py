@@ -9,6 +9,7 @@ import uuid
 import numpy as np
 
 U64 = np.uint64
+BLOCK, MANY = 1 << 16, 16  # numbers whose bits are taken apart at once; a search for more than one in so many decodes the sequence
 
 
 def save(path: str, arrays: dict[str, np.ndarray], **facts: int | float) -> None:
@@ -29,13 +30,21 @@ def save(path: str, arrays: dict[str, np.ndarray], **facts: int | float) -> None
 
 
 def load(path: str) -> tuple[dict[str, np.ndarray], dict[str, int | float]]:
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
     n = int.from_bytes(raw[:8].tobytes(), "little")
     head, base = json.loads(raw[8 : 8 + n].tobytes()), -(-(8 + n) // 64) * 64
     at = lambda kind, start, size: raw[base + start : base + start + size * np.dtype(kind).itemsize].view(kind)
     return {k: at(*x) for k, x in head["arrays"].items()}, head["facts"]
 
 
+def found(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted number among the increasing values, -1 where it is missing."""
+    if not len(values):
+        return np.full(len(wanted), -1)
+    i = np.searchsorted(values, wanted)
+    return np.where(values[np.minimum(i, len(values) - 1)] == wanted, i, -1)
+
+
 #: Position of the k-th (from 0) one of each byte; 0 where there is none.
 _IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], U64)
 
@@ -66,8 +75,9 @@ class Monotone:
         v, n = values.astype(U64), len(values)
         low = max(0, (universe // max(n, 1)).bit_length() - 1)
         low = min(low, 63)
-        bits = np.unpackbits(v.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :low].reshape(-1)
-        packed = np.packbits(bits, bitorder="little")
+        bits = lambda x: np.unpackbits(x.view(np.uint8).reshape(len(x), 8), axis=1, bitorder="little")[:, :low].reshape(-1)
+        # By blocks, each of whole bytes: a number has 64 bytes while its bits are apart.
+        packed = np.concatenate([np.packbits(bits(v[i : i + BLOCK]), bitorder="little") for i in range(0, n, BLOCK)] or [np.zeros(0, np.uint8)])
         low_words = np.concatenate([packed, np.zeros(-len(packed) % 8 + 16, np.uint8)]).view(U64)
         top = (v >> U64(low)).astype(np.int64)
         unary = np.zeros(-(-(n + (universe >> low) + 2) // 64) * 64, np.uint8)
@@ -89,6 +99,12 @@ class Monotone:
         at = word * 64 + _select(self.high[word], i - self.ones[word]).astype(np.int64)
         return ((at - i).astype(U64) << U64(self.low)) | self.lows(i)
 
+    def all(self) -> np.ndarray:
+        """The whole sequence, decoded in one pass."""
+        at = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
+        i = np.arange(self.size)
+        return ((at - i).astype(U64) << U64(self.low)) | self.lows(i)
+
     def _after_zeros(self, k: np.ndarray) -> np.ndarray:
         """Number of elements before the k-th (from 1) zero; none for 0."""
         j = np.maximum(k - 1, 0)
@@ -96,20 +112,17 @@ class Monotone:
         at = word * 64 + _select(~self.high[word], j - self.zeros[word]).astype(np.int64)
         return np.where(k > 0, at - j, 0)
 
-    def find(self, values: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
-        """Index of each value, -1 where it is missing: successor search in the bucket of its high bits.
-
-        ``first`` and ``last`` (exclusive) narrow the search to a range of indexes for each value.
-        """
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Index of each value, -1 where it is missing: successor search in the bucket of its high bits, or in the whole sequence if the values are many."""
         v = values.astype(U64)
+        if len(v) * MANY >= self.size:
+            return found(self.all(), v)
         top = (v >> U64(self.low)).astype(np.int64)
         inside = (top >= 0) & (top < self.buckets)
         top = np.where(inside, top, 0)
         start, end = self._after_zeros(top), self._after_zeros(top + 1)
         want = v & U64((1 << self.low) - 1)
         end = np.where(inside, end, start)
-        if first is not None:
-            start, end = np.maximum(start, first), np.minimum(end, last)
         lo, hi = start.copy(), end.copy()
         live = np.flatnonzero(lo < hi)
         while len(live):

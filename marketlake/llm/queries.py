@@ -33,7 +33,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probability under a model of the documents that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return ngram_trie.score(docs, ngram_trie.build(docs))
+    return ngram_trie.build_and_score(docs)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,6 +145,57 @@ def test_scores(spark, sf_dir, edge, forget, monkeypatch):
         assert g[5] == pytest.approx(w[4], rel=1e-9, abs=1e-9) and g[6] == pytest.approx(w[5], abs=1.2e-3 * w[1])
 
 
+def test_upper_levels_are_read_by_one_task_each(spark, sf_dir, tmp_path, monkeypatch):
+    """Each part's file is opened once for all texts, not by every slice of every task, so the work grows as the texts do."""
+    log, plain = str(tmp_path / "log"), ngram_trie.Trie
+
+    class Logged(plain):
+        def _file(self, name, *more):
+            if name.startswith("grams"):
+                with open(log, "a") as f:
+                    f.write(f"{name}\n")
+            return plain._file(self, name, *more)
+
+    monkeypatch.setattr(ngram_trie, "Trie", Logged)
+    monkeypatch.setattr(ngram_trie, "SLICE", 20_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").repartition(4, "doc_id")
+    got = ngram_trie.score(docs, ngram_trie.build(docs)).collect()
+    assert len(got) == docs.count()
+    names = open(log).read().split()
+    assert names and len(names) == len(set(names))
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_one_shuffle_for_model_and_scores(spark, sf_dir, edge, forget, monkeypatch):
+    if forget:
+        monkeypatch.setattr(ngram_trie, "KEPT_GRAMS", 100)
+        monkeypatch.setattr(ngram_trie, "PACKED_BITS", 0)
+        monkeypatch.setattr(ngram_trie, "PART_TOKENS", 1000)
+        monkeypatch.setattr(ngram_trie, "SLICE", 2000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60).union(edge.select("doc_id", "text"))
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    got = rows(ngram_trie.build_and_score(docs, 20.0, 3.0))
+    assert got == rows(ngram_trie.score(docs, ngram_trie.build(docs, 20.0, 3.0), 20.0)) and {r[1] for r in got} == {False, True}
+
+
+def test_word_hashes():
+    """Neither neighbours nor the place in an array change a word's hash; words of all lengths differ."""
+    words = ["x" * n for n in range(1, 200)] + ["x" * n + "y" for n in range(200)] + ["ß", "漢字", "\x00", "\x00\x00", "x" * 8 + "\x00"]
+    got = ngram_trie.word_hashes(pa.array(words))
+    assert len(set(got.tolist())) == len(set(words))
+    assert [int(ngram_trie.word_hashes(pa.array([w]))[0]) for w in words] == got.tolist()
+    assert np.array_equal(ngram_trie.word_hashes(pa.array(words)[7:]), got[7:]) and len(ngram_trie.word_hashes(pa.array([], pa.string()))) == 0
+
+
+def test_few_values_are_found_without_decoding():
+    v = np.sort(np.random.default_rng(2).integers(0, 1 << 40, 5000, dtype=np.uint64))
+    arrays, facts = Monotone.encode(v, 1 << 40, "x")
+    m = Monotone(arrays, "x", facts["x.size"], facts["x.bits"])
+    assert np.array_equal(m.all(), v)
+    q = np.concatenate([v[::40], v[::40] + np.uint64(1)])
+    assert np.array_equal(m.find(q), np.where(np.isin(q, v), np.searchsorted(v, q), -1))
+
+
 def test_scores_without_training(spark, none):
     assert ngram_trie.score(none, ngram_trie.build(none)).count() == 0
     only = spark.createDataFrame([(i, "a b") for i in range(200) if ngram_trie.held_out(i)][:3], "doc_id long, text string")
